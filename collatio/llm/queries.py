@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collatio.llm import chat_format, decontaminate, exact_dedup, packing
-from collatio.llm.shared import load
+from collatio.llm import chat_format, decontaminate, exact_dedup, html_extract, langid, license_scan, line_dedup, near_dedup, packing, quality
+from collatio.llm.shared import held_out, load
 
 
 def tokenizer_path() -> str:
@@ -17,6 +17,33 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(load(spark, sf_dir, "pages"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, load(spark, sf_dir, "labels")))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(load(spark, sf_dir, "documents"), ngram=2)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(load(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(load(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(load(spark, sf_dir, "documents"))
 
@@ -35,7 +62,7 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_exact_dedup, op7_decontaminate, op8_chat_format, op9_pack)
+    found = (op1_html_extract, op2_exact_dedup, op3_quality, op4_near_dedup, op5_license_scan, op6_language_id, op7_decontaminate, op8_chat_format, op9_pack, op10_line_dedup)
     return {f.__name__: f for f in found}
 
 
