@@ -12,6 +12,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -25,10 +26,10 @@ from collatio.llm.shared import durable
 
 CAPACITY = 1024
 #: Text that a worker encodes at a time.
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 3_000_000
 END_ID = 2
 #: Units whose ids a Python worker remembers: the first ones it meets, hence the common ones. The ids of others are found anew each time.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Latin letters and then ASCII punctuation: two words to the tokenizer, whose BPE model then needs no further splitting.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 #: White space as both Python and the tokenizer see it, then the rest up to the next such run. The tokenizer never joins characters over the seam.
@@ -143,6 +144,12 @@ class Tokens:
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+@cache
+def tokens_of(path: str) -> Tokens:
+    """One for each Python worker and file, so that what a worker has remembered serves all its tasks."""
+    return Tokens(path)
+
+
 def spans(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids: whole sequences but for the first, which takes the remainder."""
     first = n % capacity or capacity
@@ -153,7 +160,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
     """The pieces, each with the task that made it and its number among that task's pieces of its length."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = Tokens(tokenizer_path), TaskContext.get().partitionId()
+        tokens, part = tokens_of(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
