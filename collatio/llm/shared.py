@@ -21,7 +21,22 @@ def durable(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    return _tidy(df).checkpoint()
+
+
+#: Spark's setting by which a query's shuffle files go when it ends instead of when the driver next collects garbage.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _tidy(df: DataFrame) -> DataFrame:
+    """df, run so that its shuffle files are deleted once its rows are written. The setting counts when a DataFrame is made."""
+    conf = df.sparkSession.conf
+    before = conf.get(TIDY)
+    conf.set(TIDY, "true")
+    try:
+        return df.select("*")
+    finally:
+        conf.set(TIDY, before)
 
 
 def held_out(doc_id: Column) -> Column:
