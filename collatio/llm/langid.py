@@ -26,7 +26,7 @@ from collatio.llm.shared import hash_sample, held_out
 #: Buckets of the n-gram hash, and the lengths of the n-grams of a word written between two blanks.
 BUCKETS, GRAMS = 4096, (1, 2, 3)
 #: Labelled texts to learn from: expected number; at most twice as many.
-TRAINING_TEXTS = 4000
+TRAINING_TEXTS = 2400
 #: Words whose sums a Python worker remembers.
 REMEMBERED = 300_000
 #: Least share of the best language in the softmax over negative losses for an answer that isn't ambiguous.
@@ -62,17 +62,17 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def features(texts: list[str]) -> np.ndarray:
-    """(n, BUCKETS) shares of each bucket among a text's n-grams, times 100."""
+def gram_counts(texts: list[str]) -> np.ndarray:
+    """(n, BUCKETS) counts of a text's n-grams, at most 65535 each."""
     known: dict[str, np.ndarray] = {}
-    out = np.zeros((len(texts), BUCKETS), dtype=np.float32)
+    out = np.zeros((len(texts), BUCKETS), dtype=np.uint16)
     for row, text in zip(out, texts, strict=True):
-        for word in words(text):
+        found = words(text)
+        for word in found:
             if word not in known:
                 known[word] = grams(word)
-            np.add.at(row, known[word], 1)
-        if total := row.sum():
-            row *= 100 / total
+        if found:
+            row[:] = np.minimum(np.bincount(np.concatenate([known[w] for w in found]), minlength=BUCKETS), 65535)
     return out
 
 
@@ -118,19 +118,26 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(texts), 200):
-                found = [r.tobytes() for r in features(texts[lo : lo + 200])]
-                yield pa.RecordBatch.from_arrays([langs.slice(lo, len(found)), pa.array(found, pa.binary())], names=["lang", "x"])
-
-    # 16 KB a text and at most 2 * training_texts of them come to the driver.
-    sample = hash_sample(rows, F.col("id"), training_texts).select("text", "lang").mapInArrow(measure, "lang string, x binary").toArrow()
-    if not sample.num_rows:
+            texts = batch.column(2).to_pylist()
+            for lo in range(0, len(texts), 100):
+                found = [r.tobytes() for r in gram_counts(texts[lo : lo + 100])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(found)), batch.column(1).slice(lo, len(found)), pa.array(found, pa.binary())], names=["id", "lang", "x"])
+
+    # 8 KB a text and at most 2 * training_texts of them come to the driver.
+    sample = hash_sample(rows, F.col("id"), training_texts).select(F.col("id").cast("string").alias("id"), "lang", "text").repartition(24)
+    found = sample.mapInArrow(measure, "id string, lang string, x binary").toArrow().sort_by([("id", "ascending"), ("lang", "ascending")])
+    if not found.num_rows:
         return None
-    x = np.frombuffer(b"".join(sample["x"].to_pylist()), dtype=np.float32).reshape(-1, BUCKETS)
-    kept = x.any(axis=1)
-    labels = [v for v, k in zip(sample["lang"].to_pylist(), kept, strict=True) if k]
-    return fit(x[kept], labels) if labels else None
+    labels = found["lang"].to_pylist()
+    counts = np.frombuffer(b"".join(found["x"].to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
+    del found
+    x = counts.astype(np.float32)
+    total = x.sum(axis=1, keepdims=True)
+    x *= 100 / np.maximum(total, 1)
+    kept = total[:, 0] > 0
+    if not kept.all():
+        x, labels = x[kept], [v for v, k in zip(labels, kept, strict=True) if k]
+    return fit(x, labels) if labels else None
 
 
 class Scorer:
