@@ -10,6 +10,7 @@ chance to miss it is (1 - 0.5**ROWS)**BANDS < 1e-8.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ TEMPLATES = {
     "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International License",),
     "CC-BY-SA-4.0": ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
+    "All-Rights-Reserved": ("All rights reserved.",),
     "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",),
 }
 OUTPUT = "doc_id long, license string, first_word long, n_words long, containment double"
@@ -63,48 +65,46 @@ def _bands(items: np.ndarray) -> np.ndarray:
     return keys
 
 
+@dataclass
+class Group:
+    """Templates whose shingles have the same number of words."""
+
+    ngram: int
+    names: list[str] = field(default_factory=list)
+    sets: list[np.ndarray] = field(default_factory=list)
+    sizes: list[int] = field(default_factory=list)
+    bands: dict[int, list[int]] = field(default_factory=dict)
+    all: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint64))
+
+    def add(self, name: str, hashes: np.ndarray) -> None:
+        items = np.unique(shingles(hashes, self.ngram))
+        for key in _bands(items).tolist():
+            self.bands.setdefault(key, []).append(len(self.names))
+        self.names.append(name)
+        self.sets.append(items)
+        self.sizes.append(len(hashes))
+        self.all = np.union1d(self.all, items)
+
+
 class Scanner:
-    """Finds templates in texts; the same in every process."""
+    """Finds templates in texts; the same in every process. Templates of fewer than ngram words are one shingle of their own."""
 
     def __init__(self, templates: dict[str, tuple[str, ...]], ngram: int = NGRAM):
-        self.ngram, self.known = ngram, WordHashes()
-        self.names, self.sets, self.sizes, bands = [], [], [], {}
+        self.known, groups = WordHashes(), {}
         for name, notices in templates.items():
             for notice in notices:
                 hashes = _hashes(notice.encode(), self.known)
-                items = np.unique(shingles(hashes, ngram))
-                for key in _bands(items):
-                    bands.setdefault(int(key), []).append(len(self.names))
-                self.names.append(name)
-                self.sets.append(items)
-                self.sizes.append(len(hashes))
-        self.bands = bands
-        self.all = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, dtype=np.uint64)
+                n = min(ngram, len(hashes))
+                groups.setdefault(n, Group(n)).add(name, hashes)
+        self.groups = list(groups.values())
 
     def scan(self, text: bytes) -> list[tuple[str, int, int, float]]:
         """(license, first word, words, containment) of each notice, the best window for each stretch of overlapping hits."""
         hashes = _hashes(text, self.known)
-        items = shingles(hashes, self.ngram)
-        if not len(items) or not len(self.all):
-            return []
-        at = np.searchsorted(self.all, items)
-        at[at == len(self.all)] = 0
-        marked = np.flatnonzero(self.all[at] == items)
-        if not len(marked):
-            return []  # no window of this text shares anything with a template
         hits: dict[str, list[tuple[int, int, float]]] = {}
-        for size in sorted(set(self.sizes)):
-            step, wide = max(1, size // 4), max(1, size - self.ngram + 1)
-            # Windows of this size, from every step-th place, that hold a marked shingle.
-            lo, hi = np.maximum(marked - wide + 1, 0) // step, marked // step
-            for start in sorted({int(s) * step for a, b in zip(lo, hi, strict=True) for s in range(a, b + 1)}):
-                inside = np.unique(items[start : start + wide + step])
-                found = {t for key in _bands(inside).tolist() for t in self.bands.get(key, ())}
-                for t in found:
-                    share = shared(self.sets[t], inside) / len(self.sets[t])
-                    if share >= CONTAINED:
-                        own = np.flatnonzero(np.isin(items[start : start + wide + step], self.sets[t])) + start
-                        hits.setdefault(self.names[t], []).append((int(own[0]), int(own[-1] - own[0]) + min(self.ngram, len(hashes)), share))
+        for group in self.groups:
+            if len(hashes) >= group.ngram:
+                self._windows(group, shingles(hashes, group.ngram), hits)
         out = []
         for name, spans in hits.items():
             best = None
@@ -117,6 +117,26 @@ class Scanner:
             out.append((name, *best))
         return sorted(out, key=lambda x: (x[1], x[0]))
 
+    @staticmethod
+    def _windows(group: Group, items: np.ndarray, hits: dict[str, list[tuple[int, int, float]]]) -> None:
+        at = np.searchsorted(group.all, items)
+        at[at == len(group.all)] = 0
+        marked = np.flatnonzero(group.all[at] == items)
+        if not len(marked):
+            return  # no window of this text shares anything with a template
+        for size in sorted(set(group.sizes)):
+            step, wide = max(1, size // 4), size - group.ngram + 1
+            # Windows of this size, from every step-th place, that hold a marked shingle.
+            lo, hi = np.maximum(marked - wide + 1, 0) // step, marked // step
+            for start in sorted({int(s) * step for a, b in zip(lo, hi, strict=True) for s in range(a, b + 1)}):
+                window = items[start : start + wide + step]
+                inside = np.unique(window)
+                for t in {t for key in _bands(inside).tolist() for t in group.bands.get(key, ())}:
+                    share = shared(group.sets[t], inside) / len(group.sets[t])
+                    if share >= CONTAINED:
+                        own = np.flatnonzero(np.isin(window, group.sets[t])) + start
+                        hits.setdefault(group.names[t], []).append((int(own[0]), int(own[-1] - own[0]) + group.ngram, share))
+
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """A row for each license notice in a text: doc_id, license, first_word, n_words, containment.
