@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
+from collatio.functions import text
+
 
 def title(html: Column) -> Column:
     return F.nullif(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit(""))
@@ -125,3 +127,36 @@ def tidy_text(c: Column) -> Column:
     """STR-32: lines without tags, runs of blanks as one, empty lines left out."""
     lines = F.split(F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>|</p>|</div>", "\n"), r"<[^>]*>", ""), "\n")
     return F.array_join(F.filter(F.transform(lines, lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))), lambda x: x != ""), "\n")
+
+
+def shop_rows(c: Column) -> Column:
+    """UDF-08: the cards of a shop's listing page: rarity (of the section they stand in), booster, card_id, card_name, product_link, price, stock.
+
+    Sections without a header row are left out; what a card lacks is Unknown, N/A or 0.
+    """
+
+    def found(x: Column, pattern: str, default: str) -> Column:
+        said = F.trim(F.regexp_replace(F.regexp_extract(x, pattern, 1), r"<[^>]*>", ""))
+        return F.coalesce(text.blank_to_null(said), F.lit(default))
+
+    def card(x: Column, rarity: Column) -> Column:
+        raw = found(x, r'(?s)<span[^>]*border-dark[^>]*>(.*?)</span>', "Unknown")
+        booster, after = text.at_slash(raw)
+        return F.struct(
+            rarity.alias("rarity"),
+            booster.alias("booster"),
+            F.when(F.contains(raw, F.lit("/")), after).otherwise(raw).alias("card_id"),
+            found(x, r"(?s)<h4[^>]*>(.*?)</h4>", "Unknown").alias("card_name"),
+            found(x, r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>\s*<h4', "N/A").alias("product_link"),
+            text.leading_int(found(x, r"(?s)<strong[^>]*text-end[^>]*>(.*?)</strong>", "")).alias("price"),
+            text.stock_level(found(x, r"(?s)<label[^>]*zaiko[^>]*>(.*?)</label>", "")).alias("stock"),
+        )
+
+    def section(x: Column) -> Column:
+        rarity = found(F.regexp_extract(x, r"(?s)<h3[^>]*>(.*?)</h3>", 1), r"(?s)<span[^>]*>(.*?)</span>", "Unknown")
+        cards = F.split(x, r'<div[^>]*class="[^"]*card-product')
+        return F.transform(F.slice(cards, 2, F.size(cards)), lambda k: card(k, rarity))
+
+    parts = F.split(c, r'<div[^>]*class="[^"]*cards-list')
+    headed = F.filter(F.slice(parts, 2, F.size(parts)), lambda x: x.rlike(r"<h3[\s>]"))
+    return F.flatten(F.transform(headed, section))

@@ -131,3 +131,15 @@ def test_ratio_and_bound(spark):
 
 def test_terms_have_spaces_only_where_needed():
     assert terms.replace_terms("A登場B\n登場") == "A Deploy B\nDeploy"
+
+
+SHOP = """<div class="py-4 cards-list"><h3 class="fw-bold"><span class="py-2">SR</span> list</h3><div class="row mt-2">
+<div class="col card-product position-relative mt-4"><span class="d-block border border-dark p-1">UA01/X-1</span><a href="/p/1"><h4 class="fw-bold">火 &amp; 水</h4></a><strong class="d-block text-end">1,280 円</strong><label class="cart_sell_zaiko">在庫 : ◯</label></div>
+<div class="col card-product position-relative mt-4 sold-out"><span class="d-block border border-dark p-1">Y</span><h4>名</h4><label class="cart_sell_zaiko">在庫 : 2 点</label></div></div></div>
+<div class="py-4 cards-list"><p>no header</p><div class="card-product"></div></div>"""
+
+
+def test_shop_pages(one):
+    got = one(html.shop_rows, SHOP, "", None)
+    assert [tuple(r) for r in got[0]] == [("SR", "UA01", "X-1", "火 &amp; 水", "/p/1", 1280, 20), ("SR", "Unknown", "Y", "名", "N/A", 0, 2)]
+    assert got[1] == [] and got[2] is None
