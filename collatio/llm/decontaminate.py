@@ -47,10 +47,10 @@ def _around(words: Column, at: Column, k: int, reach: int) -> list[Column]:
     ]
 
 
-def _look(words: Column, k: int, reach: int) -> Callable[[Column], Column]:
+def _look(words: Column, k: int, reach: int, own: Column) -> Callable[[Column], Column]:
     def look(block: Column) -> Column:
         at = block * k
-        return F.struct(F.lit(k).alias("k"), _gram(words, at, k).alias("h"), at.alias("at"), *_around(words, at, k, reach))
+        return F.struct(F.lit(k).alias("k"), _gram(words, at, k).alias("h"), at.alias("at"), *_around(words, at, k, reach), own.alias("own"))
 
     return look
 
@@ -91,32 +91,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     reach = (window + 1) // 2
     runs, sizes = item_runs(benchmark, window=window)
+    small = runs is None or runs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     words = F.col("w")
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"keep_{c}") for c in keep], words_of(F.col(text_col)).alias("w"))
-    none = F.struct(F.lit(0).alias("k"), F.lit(0).cast("long").alias("h"), F.lit(0).alias("at"), F.array().cast("array<string>").alias("block"), F.array().cast("array<string>").alias("before"), F.array().cast("array<string>").alias("after"))
-    looks = [F.array(none)]  # a header, so that a document without hits has a row too
+    # A header, so that a document without hits has a row too. What is kept of a document goes with it alone.
+    own = F.struct("doc_id", F.size("w").cast("long").alias("n_words"), *[f"keep_{c}" for c in keep])
+    none = F.array().cast("array<string>")
+    header = F.struct(F.lit(0).alias("k"), (F.lit(0).cast("long") if small else F.col("row")).alias("h"), F.lit(0).alias("at"), none.alias("block"), none.alias("before"), none.alias("after"), own.alias("own"))
+    looks = [F.array(header)]
     for k in sizes:
         starts = F.when(F.size(words) >= k, F.sequence(F.lit(0), F.floor(F.size(words) / k).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-        looks.append(F.transform(starts, _look(words, k, reach)))
-    seen = source.select(
-        "row", "doc_id", *[f"keep_{c}" for c in keep], F.size("w").cast("long").alias("n_words"), F.explode(F.concat(*looks)).alias("x")
-    ).select("row", "doc_id", *[f"keep_{c}" for c in keep], "n_words", "x.*")
-    header = docs.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit(0).cast("long").alias("h"))
-    known = header if runs is None else header.unionByName(runs, allowMissingColumns=True)
+        looks.append(F.transform(starts, _look(words, k, reach, F.when(F.lit(False), own))))
+    seen = source.select("row", F.explode(F.concat(*looks)).alias("x")).select("row", "x.*")
+    zero = docs.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit(0).cast("long").alias("h"))
+    known = zero if runs is None else zero.unionByName(runs, allowMissingColumns=True)
     if runs is None:
         known = known.select("k", "h", F.lit(None).cast("int").alias("span"), *[F.lit(None).cast("array<string>").alias(n) for n in ("items", "i_block", "i_before", "i_after")])
-    if runs is None or runs.count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    met = seen.join(known, ["k", "h"])
+    # Headers meet the one row of zeros; where the join shuffles they go by their row's number and meet nothing.
+    met = seen.join(F.broadcast(known), ["k", "h"]) if small else seen.join(runs, ["k", "h"], "left")
     left, right = F.least(_agree(_lowered(F.col("before")), F.col("i_before")), F.col("span") - F.col("k")), F.least(_agree(_lowered(F.col("after")), F.col("i_after")), F.col("span") - F.col("k"))
     met = met.withColumns({"left": F.when(F.col("k") > 0, left), "right": F.when(F.col("k") > 0, right)})
     true_hit = (_lowered(F.col("block")) == F.col("i_block")) & (F.col("left") + F.col("right") + F.col("k") >= F.col("span"))
     hit = F.when(true_hit, F.struct((F.col("at") - F.col("left")).alias("lo"), (F.col("at") + F.col("k") + F.col("right")).alias("hi")))
     per_doc = (
-        met.where((F.col("k") == 0) | true_hit)
+        met.where((F.col("k") == 0) | F.coalesce(true_hit, F.lit(False)))
         .groupBy("row")
         .agg(
-            F.max(F.when(F.col("k") == 0, F.struct("doc_id", "n_words", *[f"keep_{c}" for c in keep]))).alias("d"),
+            F.max("own").alias("d"),
             F.array_sort(F.collect_set(hit)).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(true_hit, F.col("items")))))).alias("items"),
         )

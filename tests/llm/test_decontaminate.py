@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from collatio.llm import decontaminate
@@ -43,7 +44,9 @@ def as_dict(df):
     return {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in df.collect()}
 
 
-def test_equals_direct_scan(spark):
+@pytest.mark.parametrize("broadcast_rows", [decontaminate.BROADCAST_ROWS, 0])
+def test_equals_direct_scan(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(4)
     some = [f"w{i}" for i in range(30)] + ["É", "é", "ΣΑΣ", "x"]
     items = [(i, " ".join(rng.choice(some) for _ in range(rng.choice([1, 2, 3, 7, 12, 13, 14, 30])))) for i in range(40)] + [(100, None), (101, "123 ?"), (102, "")]
