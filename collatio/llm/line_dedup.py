@@ -90,33 +90,37 @@ def _at(ranks: DataFrame, name: str) -> DataFrame:
     return ranks.select(*PLACE, F.col("rank").alias(name))
 
 
-def repeated_runs(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame] | None:
-    """docs (id_key, text_hash, text) -> the repeated lines, and the runs (id_key, text_hash, i, lines) that are not first; None if no line repeats."""
+def repeated_runs(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """docs (id_key, text_hash, text) -> the repeated lines, and the runs (id_key, text_hash, i, lines) that are not first."""
     lines = durable(_lines(docs, min_words))
     keys = ["h1", "h2"]
     names = _ranked(lines.groupBy(*keys).agg(F.count("*").alias("n")), keys)
     # Rows that repeat id and text are one document here.
     active = durable(lines.join(names, keys).drop(*keys).distinct())
-    runs = active.where("ahead > 0").select(*PLACE, F.col("ahead").alias("lines")).unionByName(
-        active.where("back > 0").select("id_key", "text_hash", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("lines"))
-    ).distinct()
-    ranks, later, k = active.select(*PLACE, "rank"), None, 1
-    while k <= min_words:
-        fitting = runs.where((F.col("lines") >= k) & (F.col("lines") < 2 * k))
-        ends = _at(ranks, "r2").withColumnRenamed("i", "end")
-        named = fitting.join(_at(ranks, "r1"), PLACE).withColumn("end", F.col("i") + F.col("lines") - k).join(ends, ["id_key", "text_hash", "end"])
-        named = named.select(*PLACE, "lines", "r1", "r2")
-        first = named.groupBy("lines", "r1", "r2").agg(F.min(F.struct(*PLACE)).alias("first"))
-        copies = durable(named.join(first, ["lines", "r1", "r2"]).where(F.struct(*PLACE) != F.col("first")).select(*PLACE, "lines"))
-        later = copies if later is None else later.unionByName(copies)
-        onward = _at(ranks, "r2").withColumn("i", F.col("i") - k)
-        pairs = durable(_at(ranks, "r1").join(onward, PLACE))
-        keys = ["r1", "r2"]
-        doubled = _ranked(pairs.groupBy(*keys).agg(F.count("*").alias("n")), keys)
-        ranks = durable(pairs.join(doubled, keys).select(*PLACE, "rank"))
-        k *= 2
-        if ranks.isEmpty():
-            break
+    ahead = active.where("ahead > 0").select(*PLACE, F.col("ahead").alias("lines"))
+    back = active.where("back > 0").select("id_key", "text_hash", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("lines"))
+    runs = durable(ahead.unionByName(back).distinct())
+    # At most log2(min_words) + 1 numbers: the depths that name runs of this input.
+    depths = {r[0] for r in runs.select(F.floor(F.log2("lines")).cast("int").alias("depth")).distinct().collect()}
+    ranks, later = active.select(*PLACE, "rank"), None
+    for depth in range(max(depths, default=0) + 1):
+        k = 2**depth
+        if depth in depths:
+            fitting = runs.where((F.col("lines") >= k) & (F.col("lines") < 2 * k))
+            ends = _at(ranks, "r2").withColumnRenamed("i", "end")
+            named = fitting.join(_at(ranks, "r1"), PLACE).withColumn("end", F.col("i") + F.col("lines") - k).join(ends, ["id_key", "text_hash", "end"])
+            named = named.select(*PLACE, "lines", "r1", "r2")
+            first = named.groupBy("lines", "r1", "r2").agg(F.min(F.struct(*PLACE)).alias("first"))
+            copies = durable(named.join(first, ["lines", "r1", "r2"]).where(F.struct(*PLACE) != F.col("first")).select(*PLACE, "lines"))
+            later = copies if later is None else later.unionByName(copies)
+        if depth < max(depths, default=0):
+            onward = _at(ranks, "r2").withColumn("i", F.col("i") - k)
+            pairs = durable(_at(ranks, "r1").join(onward, PLACE))
+            keys = ["r1", "r2"]
+            doubled = _ranked(pairs.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+            ranks = durable(pairs.join(doubled, keys).select(*PLACE, "rank"))
+    if later is None:
+        later = runs.where(F.lit(False))
     return active, later
 
 
