@@ -11,7 +11,8 @@ from collatio.llm.shared import durable
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node gets an edge to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    # Written on its own, so that the join can be split where a node has many neighbours.
+    least = durable(both.groupBy("a").agg(F.min("b").alias("m")))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
 

@@ -110,7 +110,8 @@ def repeated_runs(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame
             ends = _at(ranks, "r2").withColumnRenamed("i", "end")
             named = fitting.join(_at(ranks, "r1"), PLACE).withColumn("end", F.col("i") + F.col("lines") - k).join(ends, ["id_key", "text_hash", "end"])
             named = named.select(*PLACE, "lines", "r1", "r2")
-            first = named.groupBy("lines", "r1", "r2").agg(F.min(F.struct(*PLACE)).alias("first"))
+            # Written on its own, so that both sides of the join come from exchanges, which Spark can split where a run is common.
+            first = durable(named.groupBy("lines", "r1", "r2").agg(F.min(F.struct(*PLACE)).alias("first")))
             copies = durable(named.join(first, ["lines", "r1", "r2"]).where(F.struct(*PLACE) != F.col("first")).select(*PLACE, "lines"))
             later = copies if later is None else later.unionByName(copies)
         if depth < max(depths, default=0):

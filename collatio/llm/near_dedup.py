@@ -178,7 +178,7 @@ def _leftover_links(members: DataFrame, links: DataFrame, nodes: DataFrame, sets
     comp = F.coalesce("comp", "node").alias("comp")
     placed = members.join(components(links), "node", "left").select("key", "node", comp)
     # A bucket of two has been tested whole.
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), F.min("node").alias("first")).where("lo <> hi and n > 2")
+    mixed = durable(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), F.min("node").alias("first")).where("lo <> hi and n > 2"))
     inside = durable(placed.join(mixed, "key").select("node", "comp", "first"))
     if inside.isEmpty():
         return None
@@ -202,10 +202,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, ngram: int, percent: i
     classes = signed.where("n_shingles > 0").groupBy("set_id").agg(F.min("row").alias("node"))
     nodes = durable(signed.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "doc_id", "text_hash", "n_shingles", "keys", "sketch"))
     entries = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # Aggregates are written on their own before they are joined back: Spark can split a hot key only where both sides come straight from exchanges.
+    buckets = durable(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     members = durable(entries.join(buckets, "key"))
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    hubs = members.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub"))
+    hubs = durable(members.join(weights, "node").groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("hub")))
     pairs = members.join(hubs, "key").where("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     light = nodes.select("node", "n_shingles", "sketch")
     a, b = (light.select(*[F.col(c).alias(f"{side}_{c}") for c in light.columns]) for side in ("a", "b"))
@@ -222,7 +223,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, ngram: int, percent: i
     found = components(links if rest is None else links.unionByName(rest))
     joined = classes.join(found, "node", "left").select("set_id", F.coalesce("comp", "node").alias("comp"))
     placed = durable(signed.select("row", "doc_id", "text_hash", "n_shingles", "set_id").join(joined, "set_id", "left").withColumn("comp", F.coalesce("comp", "row")))
-    first = placed.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    first = durable(placed.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")))
     return placed.join(first, "comp").select("row", "doc_id", "text_hash", "n_shingles", "first")
 
 
