@@ -28,7 +28,7 @@ BUCKETS, GRAMS = 4096, (1, 2, 3)
 #: Labelled texts to learn from: expected number; at most twice as many.
 TRAINING_TEXTS = 2400
 #: Words whose sums a Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Least share of the best language in the softmax over negative losses for an answer that isn't ambiguous.
 CLEAR = 0.5
 UNKNOWN = "und"
@@ -158,11 +158,11 @@ class Scorer:
             self.sums[i, -1] = len(at)
             self.known[word] = i
 
-    def margins(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(n, bits) margins and whether a text has a letter."""
+    def margins(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(n, bits) margins and whether a text has a letter; texts are taken from Arrow one by one."""
         total = np.zeros((len(texts), self.sums.shape[1]))
         for i, text in enumerate(texts):
-            found = words(text)
+            found = words(text.as_py() or "")
             if new := [w for w in dict.fromkeys(found) if w not in self.known]:
                 self.add(new)
             if found:
@@ -189,7 +189,7 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", prefi
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared_model.value)
         for batch in batches:
-            margins, lettered = scorer.margins([t or "" for t in batch.column(at).to_pylist()])
+            margins, lettered = scorer.margins(batch.column(at))
             best, share = scorer.model.decode(margins)
             names = [scorer.model.languages[i] if k else UNKNOWN for i, k in zip(best, lettered, strict=True)]
             share = np.where(lettered, share, 0.0)

@@ -29,7 +29,7 @@ CAPACITY = 1024
 CHUNK_BYTES = 3_000_000
 END_ID = 2
 #: Units whose ids a Python worker remembers: the first ones it meets, hence the common ones. The ids of others are found anew each time.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Latin letters and then ASCII punctuation: two words to the tokenizer, whose BPE model then needs no further splitting.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 #: White space as both Python and the tokenizer see it, then the rest up to the next such run. The tokenizer never joins characters over the seam.
