@@ -16,12 +16,12 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from collatio.llm.shared import hash_sample, held_out
+from collatio.llm.shingles import STEP, mix
 
 #: Buckets of the n-gram hash, and the lengths of the n-grams of a word written between two blanks.
 BUCKETS, GRAMS = 4096, (1, 2, 3)
@@ -49,30 +49,31 @@ def codebook(n: int) -> np.ndarray:
     return max(tries, key=lambda c: ((bits - (c @ c.T - bits * np.eye(n))).min() / 2, -(np.abs(c.sum(axis=0)) == n).sum()))
 
 
-def grams(word: str) -> np.ndarray:
-    """Buckets of a word's n-grams, with repeats; none for a word without a letter."""
-    if not any(map(str.isalpha, word)):
-        return np.zeros(0, dtype=np.int64)
-    text = f" {word} "
-    found = [text[i : i + n] for n in GRAMS for i in range(len(text) - n + 1) if n > 1 or 0 < i < len(text) - 1]
-    return np.fromiter((xxhash.xxh32_intdigest(g.encode()) % BUCKETS for g in found), dtype=np.int64, count=len(found))
+def grams(found: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Buckets of the n-grams of words that all have a letter, one array for each length in word order, and the words' sizes.
+
+    A word of m letters has m, m + 1 and m of them. All words are hashed at once, written in a row with a blank between two.
+    """
+    sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+    points = np.frombuffer(f" {' '.join(found)} ".encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    letter = points != 32
+    pairs = points[:-1] | points[1:] << np.uint64(21)
+    triples = pairs[:-1] | points[2:] << np.uint64(42)
+    keys = (points[letter], pairs, triples[letter[1:-1]])  # a blank is the middle of no triple
+    return [(mix(k * STEP + np.uint64(n)) % np.uint64(BUCKETS)).astype(np.int64) for n, k in zip(GRAMS, keys, strict=True)], sizes
 
 
 def words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Runs of word characters that are no digits, those without a letter (such as a lone exponent) left out."""
+    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def gram_counts(texts: list[str]) -> np.ndarray:
     """(n, BUCKETS) counts of a text's n-grams, at most 65535 each."""
-    known: dict[str, np.ndarray] = {}
     out = np.zeros((len(texts), BUCKETS), dtype=np.uint16)
     for row, text in zip(out, texts, strict=True):
-        found = words(text)
-        for word in found:
-            if word not in known:
-                known[word] = grams(word)
-        if found:
-            row[:] = np.minimum(np.bincount(np.concatenate([known[w] for w in found]), minlength=BUCKETS), 65535)
+        if found := words(text):
+            row[:] = np.minimum(np.bincount(np.concatenate(grams(found)[0]), minlength=BUCKETS), 65535)
     return out
 
 
@@ -152,11 +153,14 @@ class Scorer:
         n = len(self.known)
         while n + len(new) > len(self.sums):
             self.sums = np.resize(self.sums, (2 * len(self.sums), self.sums.shape[1]))
-        for i, word in enumerate(new, n):
-            at = grams(word)
-            self.sums[i, :-1] = self.model.weights[at].sum(axis=0)
-            self.sums[i, -1] = len(at)
-            self.known[word] = i
+        buckets, sizes = grams(new)
+        ends = np.cumsum(sizes)
+        rows = self.sums[n : n + len(new)]
+        rows[:, -1] = 3 * sizes + 1
+        rows[:, :-1] = 0
+        for at, starts in zip(buckets, (ends - sizes, ends - sizes + np.arange(len(new)), ends - sizes), strict=True):
+            rows[:, :-1] += np.add.reduceat(self.model.weights[at], starts, axis=0)
+        self.known.update(zip(new, range(n, n + len(new)), strict=True))
 
     def margins(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(n, bits) margins and whether a text has a letter; texts are taken from Arrow one by one."""
