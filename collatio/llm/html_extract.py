@@ -16,8 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']{1,4000}+|"[^"]{0,4000}"|'[^']{0,4000}'|["']){0,200}+)>""", re.S)
-ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\bhidden\b""")
+#: What is no tag, then a tag's start. A quote opens a value only after "="; all parts are possessive, so a page is scanned once.
+_OTHER = r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)"""
+TAG = re.compile(_OTHER + r"""((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+)(>|\Z)""", re.S)
+#: Tags that end at the first ">", for the rest of a page whose quotes leave a tag open to the page's end.
+BROKEN = re.compile(_OTHER + r"([^>]*+)(>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style noscript template svg math iframe object head title textarea select button canvas audio video map datalist".split())
 BLOCKS = frozenset(
@@ -136,7 +140,7 @@ def _region(name: str, attributes: str, furniture: bool, article: bool) -> tuple
             words.update(re.split(r"[^a-z0-9]+", value))
         elif key == "role":
             role = value.strip()
-        elif not key or key == "hidden" or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
+        elif key == "hidden" or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             return True, article
     if name in ("html", "body"):
         return False, article
@@ -154,6 +158,7 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
     stack: list[tuple[str, bool, bool]] = []  # open elements
     furniture = article = link = False
     at, n = 0, len(html)
+    tags, endless = TAG, set()
 
     def flush() -> None:
         if pieces:
@@ -164,14 +169,19 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
             pieces.clear()
 
     while at < n:
-        found = TAG.search(html, at)
+        found = tags.search(html, at)
+        if found and found[4] == "":
+            if tags is TAG:
+                tags = BROKEN
+                continue
+            found = None  # no ">" is left: the rest is text
         plain = html[at : found.start()] if found else html[at:]
         if plain:
             pieces.append((unescape(plain) if "&" in plain else plain, link))
         if not found:
             break
         at = found.end()
-        closing, name, attributes = found.groups()
+        closing, name, attributes, _ = found.groups()
         if name is None:
             continue
         name = name.lower()
@@ -190,7 +200,9 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
                 if name in BLOCKS:
                     link = False
         elif name in SILENT:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+            end = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+            if not end:
+                endless.add(name)
             # A head or select that is never closed must not take the page with it.
             at = end.end() if end else n if name in ("script", "style") else at
         elif name not in VOID and (name in BLOCKS or attributes) and not attributes.endswith("/"):

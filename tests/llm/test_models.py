@@ -85,6 +85,36 @@ def test_page_that_names_no_article():
     assert html_extract.main_text(page, html_extract.trained_tree())[0] == f"{body}\n\n{body}"
 
 
+@pytest.mark.parametrize("size", [10, 5_000, 2_000_000])
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_attribute_values_of_any_length(size, quote):
+    body = " ".join(f"word{i}" for i in range(60))
+    value = ("a > b, " * size)[:size]
+    for name in ("src", "data-2"):
+        page = f"<article><p>First.</p><img {name}={quote}{value}{quote} alt={quote}x{quote}><p>{body}</p><a href={quote}u{quote}>link</a><p>{body}</p></article>"
+        assert html_extract.main_text(page, html_extract.trained_tree())[0] == f"First.\n\n{body}\n\nlink\n\n{body}"
+
+
+def test_tags_with_many_attributes_and_stray_quotes():
+    many = " ".join(f'a{i}="<p>{i}>"' for i in range(5000))
+    tree = html_extract.trained_tree()
+    assert html_extract.main_text(f"<article><p>One two.</p><p {many}>Three.</p></article>", tree)[0] == "One two.\n\nThree."
+    assert html_extract.main_text("<article><p title=it's>One</p><p a\">Two</p><p class = 'x>y'>Three</p><p alt=\"open>Four</p></article>", tree)[0] == "One\n\nTwo\n\nThree\n\nFour"
+
+
+def test_open_tags_lose_no_text_and_take_linear_time():
+    tree = html_extract.trained_tree()
+    assert html_extract.blocks("<p>One</p><p>a <b c")[1][0] == "a <b c"
+    assert "One" in html_extract.main_text("<article>" + "<a x='>' " * 100_000 + "<p>One", tree)[0]
+    html_extract.blocks("<a " * 300_000)
+    html_extract.blocks("<video>" * 100_000)
+
+
+def test_words_in_other_values_hide_nothing():
+    page = """<article><p data-hidden x2="{hidden: true}" data_id="nav">One</p><p hidden>no</p><p HIDDEN="">no</p></article>"""
+    assert html_extract.main_text(page, html_extract.trained_tree())[0] == "One"
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<"), (4, "u", "<p"), (5, "u", '<a "' * 2000), (6, "u", "<script>x"), (None, "u", "<article>" + "<b>" * 5000 + "x" * 100_000), (7, "u", "<article>a</article>"), (7, "u", "<article>a</article>")]
     got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
