@@ -1,8 +1,10 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is cut into flat blocks at block-level tags. A block's features are its word count and link density, those of
-the blocks before and after it, and whether it stands in a region that its tags name as furniture (navigation, adverts,
-comments and so on) or as the article. A decision tree, grown on the small labelled table below, keeps or drops it.
+the blocks before and after it, whether it stands in a region that its tags name as furniture (navigation, adverts,
+comments and so on) or as the article, and whether the article's region holds most of the page's words outside lists of
+links. A region named only by a word of a class or id (post-title, story) counts as the article only if it does. A
+decision tree, grown on the small labelled table below, keeps or drops the block.
 """
 
 from __future__ import annotations
@@ -43,9 +45,11 @@ ARTICLE = frozenset("article main".split())
 ARTICLE_WORDS = frozenset("article articlebody post story entry maincontent".split())
 
 FEATURES = ("furniture", "article", "page_has_article", "words", "links", "words_before", "links_before", "words_after", "links_after")
+#: How many of FEATURES, the first, are about regions.
+REGIONS = 3
 #: The labelled table: FEATURES, then 1 for main text. Link densities are shares of words inside links.
 LABELLED = (
-    # In the article's region of a page that names one.
+    # In the article's region of a page that names one and has most of its words there.
     (0, 1, 1, 12, 0.0, 0, 0.0, 80, 0.0, 1),
     (0, 1, 1, 1, 0.0, 60, 0.0, 70, 0.0, 1),
     (0, 1, 1, 120, 0.02, 12, 0.0, 40, 0.0, 1),
@@ -55,6 +59,18 @@ LABELLED = (
     (0, 1, 1, 2, 0.0, 1, 0.0, 1, 0.0, 1),
     (0, 1, 1, 300, 0.0, 2, 1.0, 12, 0.0, 1),
     (0, 1, 1, 20, 0.0, 9, 0.0, 10, 0.0, 1),
+    (0, 1, 1, 1, 1.0, 1, 1.0, 1, 1.0, 1),
+    (0, 1, 1, 4, 1.0, 90, 0.0, 5, 1.0, 1),
+    (0, 1, 1, 12, 0.9, 9, 0.8, 40, 0.0, 1),
+    (0, 1, 1, 6, 0.0, 3, 1.0, 0, 0.0, 1),
+    # In a region of article, main or their roles that holds less than most.
+    (0, 1, 0, 4, 0.0, 0, 0.0, 15, 0.0, 1),
+    (0, 1, 0, 12, 0.0, 4, 0.0, 6, 0.0, 1),
+    (0, 1, 0, 40, 0.0, 3, 0.0, 5, 0.0, 1),
+    (0, 1, 0, 90, 0.05, 2, 1.0, 4, 1.0, 1),
+    (0, 1, 0, 12, 0.0, 3, 1.0, 2, 1.0, 0),
+    (0, 1, 0, 5, 1.0, 4, 1.0, 6, 1.0, 0),
+    (0, 1, 0, 3, 1.0, 12, 0.0, 5, 1.0, 0),
     # Furniture, wherever it stands and however much it looks like text.
     (1, 1, 1, 60, 0.0, 80, 0.0, 30, 0.0, 0),
     (1, 1, 1, 8, 0.0, 40, 0.0, 50, 0.0, 0),
@@ -66,20 +82,41 @@ LABELLED = (
     (1, 0, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0),
     (1, 0, 0, 90, 0.05, 70, 0.0, 0, 0.0, 0),
     (1, 0, 0, 15, 0.0, 2, 1.0, 30, 0.0, 0),
-    # Outside the region of a page that names one.
+    # Outside a region that holds most: long blocks without links, and those among their like, are text all the same.
     (0, 0, 1, 9, 0.0, 200, 0.0, 0, 0.0, 0),
     (0, 0, 1, 40, 0.0, 1, 1.0, 60, 0.0, 0),
     (0, 0, 1, 4, 1.0, 3, 1.0, 5, 1.0, 0),
     (0, 0, 1, 25, 0.3, 90, 0.0, 4, 1.0, 0),
     (0, 0, 1, 70, 0.0, 2, 0.0, 2, 0.0, 0),
-    (0, 0, 1, 200, 0.0, 30, 0.0, 20, 0.0, 0),
-    (0, 0, 1, 150, 0.0, 1, 1.0, 90, 0.0, 0),
-    # Pages that name none: length and links of the block and its neighbours have to do.
+    (0, 0, 1, 200, 0.0, 30, 0.0, 20, 0.0, 1),
+    (0, 0, 1, 150, 0.0, 1, 1.0, 90, 0.0, 1),
+    (0, 0, 1, 130, 0.05, 3, 0.0, 4, 1.0, 1),
+    (0, 0, 1, 70, 0.0, 90, 0.0, 80, 0.0, 1),
+    (0, 0, 1, 45, 0.0, 120, 0.0, 70, 0.0, 1),
+    (0, 0, 1, 120, 0.7, 60, 0.0, 50, 0.0, 0),
+    (0, 0, 1, 8, 0.0, 60, 0.0, 50, 0.0, 0),
+    (0, 0, 1, 12, 0.0, 3, 1.0, 2, 1.0, 0),
+    (0, 0, 1, 20, 0.0, 8, 0.0, 9, 0.0, 0),
+    (0, 0, 1, 3, 0.0, 150, 0.0, 4, 1.0, 0),
+    (0, 0, 1, 5, 0.0, 4, 1.0, 90, 0.0, 0),
+    (0, 0, 1, 3, 1.0, 80, 0.0, 90, 0.0, 0),
+    (0, 0, 1, 30, 0.0, 90, 0.0, 4, 1.0, 0),
+    (0, 0, 1, 45, 0.0, 60, 0.0, 0, 0.0, 0),
+    (0, 0, 1, 160, 0.0, 1, 0.0, 2, 1.0, 1),
+    (0, 0, 1, 130, 0.0, 2, 1.0, 0, 0.0, 1),
+    # Pages that name none, or only by words of classes around a small part: length and links of the block and its neighbours have to do.
     (0, 0, 0, 60, 0.0, 10, 0.0, 50, 0.0, 1),
     (0, 0, 0, 35, 0.05, 2, 1.0, 45, 0.0, 1),
     (0, 0, 0, 25, 0.0, 40, 0.0, 2, 1.0, 1),
     (0, 0, 0, 150, 0.1, 3, 1.0, 4, 1.0, 1),
     (0, 0, 0, 18, 0.0, 30, 0.0, 35, 0.0, 1),
+    (0, 0, 0, 90, 0.0, 2, 0.0, 3, 1.0, 1),
+    (0, 0, 0, 160, 0.0, 0, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 50, 0.0, 1, 1.0, 2, 1.0, 1),
+    (0, 0, 0, 35, 0.0, 60, 0.0, 3, 1.0, 1),
+    (0, 0, 0, 42, 0.0, 50, 0.0, 10, 0.0, 1),
+    (0, 0, 0, 30, 0.0, 5, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 16, 0.0, 40, 0.0, 12, 0.0, 1),
     (0, 0, 0, 6, 0.0, 50, 0.0, 60, 0.0, 1),
     (0, 0, 0, 2, 0.0, 30, 0.0, 45, 0.0, 1),
     (0, 0, 0, 9, 0.0, 1, 1.0, 70, 0.0, 1),
@@ -99,12 +136,16 @@ LABELLED = (
 )
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 7) -> tuple | float:
-    """A decision tree by Gini impurity: (feature, cut, tree for <= cut, tree for > cut), or the share of 1 at a leaf."""
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 10) -> tuple | float:
+    """A decision tree by Gini impurity: (feature, cut, tree for <= cut, tree for > cut), or the share of 1 at a leaf.
+
+    The REGIONS are split first, so that lengths learned from one kind of region decide nothing in another.
+    """
     if depth == 0 or labels.min() == labels.max():
         return float(labels.mean())
     best = None
-    for f in range(rows.shape[1]):
+    regions = np.ptp(rows[:, :REGIONS], axis=0).any()
+    for f in range(REGIONS) if regions else range(REGIONS, rows.shape[1]):
         values = np.unique(rows[:, f])
         for cut in (values[1:] + values[:-1]) / 2:
             low = rows[:, f] <= cut
@@ -128,8 +169,8 @@ def trained_tree() -> tuple | float:
     return grow(table[:, :-1], table[:, -1])
 
 
-def _region(name: str, attributes: str, furniture: bool, article: bool) -> tuple[bool, bool]:
-    """Whether an element's content is furniture and whether it is the article's, given the same of its parent."""
+def _region(name: str, attributes: str, furniture: bool, article: int) -> tuple[bool, int]:
+    """Whether an element's content is furniture and whether it is the article's (2 by tag or role, 1 by a word only), given the same of its parent."""
     if furniture:
         return True, article
     words: set[str] = set()
@@ -148,15 +189,16 @@ def _region(name: str, attributes: str, furniture: bool, article: bool) -> tuple
         return True, article
     if not article and (name in OUTER or role in ("banner", "contentinfo") or words & OUTER_WORDS):
         return True, article
-    return False, article or name in ARTICLE or role in ("main", "article") or bool(words & ARTICLE_WORDS)
+    return False, 2 if name in ARTICLE or role in ("main", "article") else article or int(bool(words & ARTICLE_WORDS))
 
 
-def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
-    """(text, words, words in links, furniture, article) of each flat block that has a word, in page order."""
-    out: list[tuple[str, int, int, bool, bool]] = []
+def blocks(html: str) -> list[tuple[str, int, int, bool, int]]:
+    """(text, words, words in links, furniture, article as of _region) of each flat block that has a word, in page order."""
+    out: list[tuple[str, int, int, bool, int]] = []
     pieces: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements
-    furniture = article = link = False
+    stack: list[tuple[str, bool, int]] = []  # open elements
+    furniture = link = False
+    article = 0
     at, n = 0, len(html)
     tags, endless = TAG, set()
 
@@ -196,7 +238,7 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
                 flush()
                 while stack.pop()[0] != name:
                     pass
-                furniture, article = stack[-1][1:] if stack else (False, False)
+                furniture, article = stack[-1][1:] if stack else (False, 0)
                 if name in BLOCKS:
                     link = False
         elif name in SILENT:
@@ -208,7 +250,7 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
         elif name not in VOID and (name in BLOCKS or attributes) and not attributes.endswith("/"):
             if name in BLOCKS and stack and stack[-1][0] == "p":  # a paragraph ends where the next block starts
                 stack.pop()
-                furniture, article = stack[-1][1:] if stack else (False, False)
+                furniture, article = stack[-1][1:] if stack else (False, 0)
             inside = _region(name, attributes, furniture, article) if attributes or name in FURNITURE or name in OUTER or name in ARTICLE else (furniture, article)
             if inside != (furniture, article):
                 flush()
@@ -221,9 +263,10 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool]]:
 def main_text(html: str, tree: tuple | float) -> tuple[str, int, int]:
     """The kept blocks joined by blank lines, how many blocks there are and how many are kept."""
     found = blocks(html)
-    has_article = any(b[4] and not b[3] for b in found)
+    texts = [b for b in found if not b[3] and 2 * b[2] < b[1]]
+    has_article = any(b[4] and not b[3] for b in found) and 2 * sum(b[1] for b in texts if b[4]) >= sum(b[1] for b in texts)
     near = [(0, 0.0), *((b[1], b[2] / b[1]) for b in found), (0, 0.0)]
-    kept = [b[0] for i, b in enumerate(found) if decide(tree, (b[3], b[4], has_article, *near[i + 1], *near[i], *near[i + 2]))]
+    kept = [b[0] for i, b in enumerate(found) if decide(tree, (b[3], b[4] > (not has_article), has_article, *near[i + 1], *near[i], *near[i + 2]))]
     return "\n\n".join(kept), len(found), len(kept)
 
 

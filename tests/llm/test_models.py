@@ -85,6 +85,23 @@ def test_page_that_names_no_article():
     assert html_extract.main_text(page, html_extract.trained_tree())[0] == f"{body}\n\n{body}"
 
 
+@pytest.mark.parametrize("region", ["div class='story'", "article", "div role='main'"])
+def test_small_regions_take_no_text(region):
+    tree, body, menu = html_extract.trained_tree(), " ".join(f"word{i}" for i in range(80)), "<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul>"
+    name = region.split()[0]
+    teaser = f"{menu}<{region}>Read this other one as well.</{name}>{menu}"
+    assert html_extract.main_text(f"{menu}<div class='content'><p>{body}</p><p>{body}</p></div>{teaser}", tree)[0] == f"{body}\n\n{body}"
+    # A region of most words doesn't take long paragraphs with it that stand after it, but what is short.
+    page = f"<{region}><h1>Title</h1><p>{body}</p><p>{body}</p><p>Bye.</p></{name}><div><p>{body} {body}</p></div>{menu}<p>Write to us today.</p>"
+    assert html_extract.main_text(page, tree)[0] == f"Title\n\n{body}\n\n{body}\n\nBye.\n\n{body} {body}"
+
+
+def test_a_marked_title_is_not_the_article():
+    body = " ".join(f"word{i}" for i in range(80))
+    page = f"<h1 class='entry-title'>T</h1><div class='content'><p>{body}</p><p>{body}</p></div>"
+    assert html_extract.main_text(page, html_extract.trained_tree())[0] == f"T\n\n{body}\n\n{body}"
+
+
 @pytest.mark.parametrize("size", [10, 5_000, 2_000_000])
 @pytest.mark.parametrize("quote", ['"', "'"])
 def test_attribute_values_of_any_length(size, quote):
