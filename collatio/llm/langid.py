@@ -9,6 +9,7 @@ A margin is a mean over the n-grams of a text's words, so a worker finds a word'
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from collatio.llm.shared import hash_sample, held_out
+from collatio.llm.shared import held_out
 from collatio.llm.shingles import STEP, mix
 
 #: Buckets of the n-gram hash, and the lengths of the n-grams of a word written between two blanks.
 BUCKETS, GRAMS = 4096, (1, 2, 3)
-#: Labelled texts to learn from: expected number; at most twice as many.
+#: Labelled texts to learn from, at most.
 TRAINING_TEXTS = 2400
 #: Words whose sums a Python worker remembers.
 REMEMBERED = 100_000
@@ -113,8 +114,35 @@ def fit(x: np.ndarray, labels: list[str], rounds: int = 150, penalty: float = 1e
     return Model(languages, codes, w, b, trust / trust.sum())
 
 
+def language_sample(rows: DataFrame, most: int) -> DataFrame:
+    """At most `most` of rows (id, text, lang), with their hash h, spread over the languages as evenly as their numbers allow.
+
+    Rows are chosen by a hash of id and text, the same ones on every run; equal rows count once. If there are more than
+    `most` languages, the most frequent ones get a row each.
+    """
+    spark = rows.sparkSession
+    hashed = rows.withColumn("h", F.pmod(F.xxhash64("id", "text", F.lit("sample")), F.lit(2**62)))
+    counts = hashed.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()
+    caps, ends, left = {}, [], most
+    for i, r in enumerate(reversed(counts)):  # what a rare language leaves goes to the others
+        caps[r.lang] = cap = min(math.ceil(1.1 * r.n) + 1, left // (len(counts) - i))
+        left -= cap
+        # Enough for cap rows but for a chance below one in a million, and a bound for what the driver sees.
+        ends.append((r.lang, int(min(1, (1.25 * cap + 6 * math.sqrt(cap) + 16) / max(r.n, 1)) * 2**62)))
+
+    def below(cuts: list[tuple[str, int]]) -> DataFrame:
+        # A row a language, at most `most` of them.
+        return hashed.join(F.broadcast(spark.createDataFrame(cuts, "lang string, cut long")), "lang").where("h <= cut").drop("cut")
+
+    found: dict[str, list[int]] = {}
+    for lang, h in below(ends).select("lang", "h").distinct().collect():
+        found.setdefault(lang, []).append(h)
+    cuts = [(lang, sorted(hs)[: caps[lang]][-1]) for lang, hs in found.items()]
+    return below(cuts).dropDuplicates(["lang", "h"])
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", training_texts: int = TRAINING_TEXTS) -> Model | None:
-    """Learn from a bounded, hash-chosen sample of the labelled texts outside the held-out fold; None without any."""
+    """Learn from a bounded, hash-chosen sample of each language's labelled texts outside the held-out fold; None without any."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,11 +150,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             texts = batch.column(2).to_pylist()
             for lo in range(0, len(texts), 100):
                 found = [r.tobytes() for r in gram_counts(texts[lo : lo + 100])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(found)), batch.column(1).slice(lo, len(found)), pa.array(found, pa.binary())], names=["id", "lang", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, len(found)), batch.column(1).slice(lo, len(found)), pa.array(found, pa.binary())], names=["h", "lang", "x"])
 
-    # 8 KB a text and at most 2 * training_texts of them come to the driver.
-    sample = hash_sample(rows, F.col("id"), training_texts).select(F.col("id").cast("string").alias("id"), "lang", "text").repartition(24)
-    found = sample.mapInArrow(measure, "id string, lang string, x binary").toArrow().sort_by([("id", "ascending"), ("lang", "ascending")])
+    # 8 KB a text and at most training_texts of them come to the driver.
+    sample = language_sample(rows, training_texts).select("h", "lang", "text").repartition(24)
+    found = sample.mapInArrow(measure, "h long, lang string, x binary").toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
     if not found.num_rows:
         return None
     labels = found["lang"].to_pylist()

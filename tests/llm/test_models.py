@@ -31,6 +31,29 @@ def test_language_odd_rows(spark, docs):
     assert nothing is None and langid.identify(docs.limit(1), nothing).first().lang_pred == "und"
 
 
+def test_rare_languages_are_learned(spark):
+    rare = ["ovo je rijetko", "ovo je vrlo rijetko", "nije to ovo"]
+    rows = [(i, f"the word {i} of many", "en") for i in range(6000)] + [(10_000 + i, f"das wort {i} von vielen", "de") for i in range(3000)]
+    rows += [(i, text, "xx") for i, text in zip([3, 5, 7], rare, strict=True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = docs.where(~langid.held_out(F.col("doc_id")))
+    n_rare = learnt.where("lang = 'xx'").count()
+    sample = langid.language_sample(learnt.select(F.col("doc_id").alias("id"), "text", "lang"), 100)
+    counts = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert counts["xx"] == n_rare > 0 and min(counts["en"], counts["de"]) >= 45 and sum(counts.values()) <= 100
+    model = langid.train(docs, training_texts=100)
+    assert model.languages == ["de", "en", "xx"]
+    assert langid.identify(docs.where("lang = 'xx'"), model).where("lang_pred = 'xx'").count() == len(rare)
+
+
+def test_language_sample_of_repeated_ids(spark):
+    rows = spark.range(4000).select(F.lit(1).cast("long").alias("id"), F.concat(F.lit("text "), F.least("id", F.lit(3000))).alias("text"), F.lit("en").alias("lang"))
+    first, again = ({r.text for r in langid.language_sample(rows.repartition(n), 50).collect()} for n in (2, 7))
+    assert first == again and len(first) == 50
+    assert langid.language_sample(rows, 5000).count() == 3001
+    assert langid.language_sample(rows.limit(0), 50).count() == 0
+
+
 def test_codebooks_tell_languages_apart():
     for n in (2, 3, 4, 7, 8, 20):
         code = langid.codebook(n)
