@@ -119,13 +119,17 @@ def fit(names: list[str], x: np.ndarray, y: np.ndarray, seed: int = 7, penalty:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", training_texts: int = TRAINING_TEXTS) -> Model:
     """Learn from a bounded, hash-chosen sample of the labels outside the held-out fold; without any, every score is 0.5.
 
-    Rows of a document that is labelled twice count twice; null labels and labels of no document count for nothing.
+    A document that is labelled twice counts twice, an id that several documents share as the one whose text has the
+    smallest hash; null labels and labels of no document count for nothing.
     """
     chosen = hash_sample(labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).where("id is not null and y is not null").where(~held_out(F.col("id"))), F.col("id"), training_texts)
-    # At most 2 * training_texts labels: a bound that doesn't grow with the input.
-    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    # At most 2 * training_texts labels: a bound that doesn't grow with the input. One text an id, by a minimum that merges.
+    ids = chosen.select("id").distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(ids), "id")
     stats = statistics(F.col("text"))
-    table = joined.select("id", "y", *[c.alias(n) for n, c in stats.items()]).toPandas().sort_values(["id", "y"])
+    measured = texts.select("id", F.struct(F.xxhash64("text").alias("hash"), *[c.alias(n) for n, c in stats.items()]).alias("found"))
+    once = measured.groupBy("id").agg(F.min("found").alias("found"))
+    table = once.join(F.broadcast(chosen), "id").select("id", "y", *[f"found.{n}" for n in stats]).toPandas().sort_values(["id", "y"])
     return fit(list(stats), table[list(stats)].to_numpy(dtype=float), table["y"].to_numpy(dtype=float))
 
 

@@ -87,6 +87,18 @@ def test_quality_odd_rows(spark, docs):
     assert quality.score(docs.limit(3), nothing).first().score == pytest.approx(0.5)
 
 
+def test_one_text_a_label(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda names, x, y: seen.append((x.tolist(), y.tolist())))
+    rows = [(1, f"text number {i} " * (i % 7 + 1)) for i in range(3000)] + [(3, None), (4, "One text."), (5, "Two texts.")]
+    ids = [i for i in (1, 3, 4, 5) if spark.range(i, i + 1).where(~quality.held_out(F.col("id"))).count()]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[0], 1), (99, 1)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (2, 5):
+        quality.train(docs.repartition(n), labels)
+    assert 1 in ids and len(seen[0][1]) == len(ids) + 1 and seen[0] == seen[1]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="sidebar-right">
 <header><h2>Site</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> -->
 <div class="cookie-notice">We use cookies to make this site work as well as it can for you and others.</div>
