@@ -3,16 +3,16 @@
 Best fit with longest first treats pieces of one length alike, so it runs over at most `capacity` counts instead of
 over pieces: groups of equally filled sequences take q pieces of the next length at a time. Its plan has a row for
 each (length, group) pair it meets and says which ranks within a length go where. Pieces find their rank from their
-place in their task and the counts of the tasks before it, then look their slot up; no length is gathered in one place.
+place in their task and the counts of the tasks before it, then take their slot by a join on length and rank.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -28,114 +28,108 @@ CAPACITY = 1024
 #: Text that a worker encodes at a time.
 CHUNK_BYTES = 3_000_000
 END_ID = 2
-#: Units whose ids a Python worker remembers: the first ones it meets, hence the common ones. The ids of others are found anew each time.
-REMEMBERED = 200_000
-#: Latin letters and then ASCII punctuation: two words to the tokenizer, whose BPE model then needs no further splitting.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+#: Units whose ids a task remembers; when it has more, it forgets them all and learns anew.
+REMEMBERED = 300_000
+#: New units that are encoded in one text.
+TOGETHER = 1024
 #: White space as both Python and the tokenizer see it, then the rest up to the next such run. The tokenizer never joins characters over the seam.
 UNIT = re.compile(r"[^\S\x1c-\x1f]*(?:\S|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
 #: Where cutting at single spaces is not the same thing; RE2.
 SPACE_BEFORE_SPACE = "[\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}] "
+#: Ranks within a length that meet the plan in one chunk of the join.
+RANKS = 4096
+#: Rows of the plan, cut into chunks, up to which it is broadcast (some 50 bytes each); a longer one is joined by a shuffle.
+BROADCAST_ROWS = 100_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
+PLAN_SCHEMA = "length long, first long, n long, each long, sequence long, at long"
 
 
 class Tokens:
-    """Token ids of texts by a `tokenizers` file, remembering the ids of units between white space.
+    """Token ids of texts by a `tokenizers` file, remembering the ids of units between blanks.
 
-    A text is cut in front of each run of white space. A byte-level BPE of the GPT-2 kind splits there in any case,
-    so the ids of a text are those of its units one after the other; a test compares both.
-    Strings of special tokens inside a text are ordinary text.
+    A text is cut in front of each blank, or of each run of white space where two kinds of it meet. A byte-level BPE of
+    the GPT-2 kind splits there in any case, so the ids of a text are those of its units one after the other; a test
+    compares both. Strings of special tokens are what the tokenizer takes them for by default.
     """
 
     def __init__(self, path: str):
+        # A task has one core: threads of the tokenizer's own would only wait for one another.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        # How byte-level BPE writes bytes: printable ones as themselves, the others from U+0100 on.
-        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        self.written = {b: b for b in shown} | {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(shown)))}
-        self.known: dict = {}
-        self.marks: dict[str, list[int]] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
+        # Byte-level BPE writes a blank as U+0120: the tokens that a unit behind a blank can open with.
+        self.opens = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.opens[i] = token.startswith("\u0120")
+        self.known: dict[str, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.starts, self.counts = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
-    def by_model(self, word: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.written))]
-
-    def ids_of(self, units: list) -> list[list[int]]:
-        """The ids of each unit; one that is not a tuple has a space in front that isn't written."""
-        found: list = [None] * len(units)
-        rest = []
-        tokenize, space = self.tokenizer.model.tokenize, chr(self.written[0x20])
-        for i, unit in enumerate(units):
-            if type(unit) is not str or not (plain := PLAIN.fullmatch(unit)):
-                rest.append(i)
-                continue
-            letters, marks = plain.groups()
-            if marks and letters in self.known:
-                n = self.known[letters]
-                ids = self.ids[self.starts[n] : self.starts[n] + self.counts[n]].tolist()
-            elif letters.isascii():
-                ids = [t.id for t in tokenize(space + letters)]
-            else:
-                ids = self.by_model(" " + letters)
-            if marks:
-                if marks not in self.marks and len(self.marks) < 10_000:
-                    self.marks[marks] = self.by_model(marks)
-                ids += self.marks.get(marks) or self.by_model(marks)
-            found[i] = ids
-        texts = [units[i][0] if type(units[i]) is tuple else " " + units[i] for i in rest]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            found[i] = e.ids
-        return found
-
-    def learn(self, units: list) -> dict:
-        """Find the ids of units; numbers for those that can't be remembered any more, which are forgotten at the next call."""
-        found = self.ids_of(units)
-        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum()))
-        n, m = len(self.known), len(found)
+    def store(self, n: int, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Units number n and following have these counts of these ids."""
+        m = len(counts)
         while n + m > len(self.starts):
             self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
-        while self.used + len(flat) > len(self.ids):
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.ids[self.used : self.used + len(flat)] = flat
+        self.ids[self.used : self.used + len(ids)] = ids
         self.starts[n : n + m] = self.used + np.cumsum(counts) - counts
         self.counts[n : n + m] = counts
-        fits = max(0, min(m, REMEMBERED - n))
-        self.used += int(counts[:fits].sum())
-        self.known.update(zip(units[:fits], range(n, n + fits), strict=True))
-        return dict(zip(units[fits:], range(n + fits, n + m), strict=True))
+        self.used += len(ids)
 
-    def numbers(self, units: list) -> np.ndarray:
-        new = [u for u in units if u not in self.known]
-        passing = self.learn(new) if new else {}
-        found = (self.known[u] if u in self.known else passing[u] for u in units) if passing else map(self.known.__getitem__, units)
-        return np.fromiter(found, dtype=np.int64, count=len(units))
+    def one_by_one(self, n: int, texts: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        self.store(n, counts, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum())))
+
+    def learn(self, units: list[str]) -> None:
+        """Remember the ids of units as they are behind a blank."""
+        inner, rest = [], []
+        for unit in units:
+            (inner if unit and unit == unit.strip() else rest).append(unit)
+        if inner:
+            # Many in one text; a token that opens with a blank opens the next unit.
+            texts = [" " + " ".join(inner[i : i + TOGETHER]) for i in range(0, len(inner), TOGETHER)]
+            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(inner) and at[0] == 0:
+                self.store(len(self.known), np.diff(at, append=len(ids)), ids)
+                self.known.update(zip(inner, range(len(self.known), len(self.known) + len(inner)), strict=True))
+            else:
+                rest = units
+        if rest:
+            self.one_by_one(len(self.known), [" " + u for u in rest])
+            self.known.update(zip(rest, range(len(self.known), len(self.known) + len(rest)), strict=True))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text of a string array without nulls."""
         if not len(texts):
             return []
+        if len(self.known) > REMEMBERED:
+            self.known, self.used = {}, 0
         rare = np.flatnonzero(pc.match_substring_regex(texts, SPACE_BEFORE_SPACE).to_numpy(zero_copy_only=False))
         cut = pc.split_pattern(texts, " ")
         offsets = cut.offsets.to_numpy().astype(np.int64)
-        coded = cut.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        values = cut.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets -= offsets[0]
-        firsts = [(cut.values[int(o) + cut.offsets[0].as_py()].as_py(),) for o in offsets[:-1]]
-        odd = [[(u,) for u in UNIT.findall(texts[int(i)].as_py())] for i in rare]
+        coded = values.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        others = list(dict.fromkeys([*firsts, *(u for units in odd for u in units)]))
-        numbers = self.numbers(words + others)
-        place = dict(zip(others, numbers[len(words) :].tolist(), strict=True))
-        at = numbers[coded.indices.to_numpy()]
-        at[offsets[:-1]] = np.fromiter(map(place.__getitem__, firsts), dtype=np.int64, count=len(firsts))
+        if new := [w for w in words if w not in self.known]:
+            self.learn(new)
+        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))[coded.indices.to_numpy()]
+        # Units that no blank stands before: the first of each text, and all of texts where white space meets.
+        firsts = values.take(pa.array(offsets[:-1])).to_pylist()
+        odd = [UNIT.findall(texts[int(i)].as_py()) for i in rare]
+        bare = {u: len(self.known) + i for i, u in enumerate(dict.fromkeys(chain(firsts, *odd)))}
+        used = self.used
+        self.one_by_one(len(self.known), list(bare))
+        self.used = used
+        at[offsets[:-1]] = np.fromiter(map(bare.__getitem__, firsts), dtype=np.int64, count=len(firsts))
         if len(rare):
             parts = [at[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             for i, units in zip(rare, odd, strict=True):
-                parts[i] = np.array([place[u] for u in units], dtype=np.int64)
+                parts[i] = np.array([bare[u] for u in units], dtype=np.int64)
             at, offsets = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
         counts = self.counts[at]
         ends = np.cumsum(counts)
@@ -144,12 +138,6 @@ class Tokens:
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-@cache
-def tokens_of(path: str) -> Tokens:
-    """One for each Python worker and file, so that what a worker has remembered serves all its tasks."""
-    return Tokens(path)
-
-
 def spans(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids: whole sequences but for the first, which takes the remainder."""
     first = n % capacity or capacity
@@ -160,7 +148,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
     """The pieces, each with the task that made it and its number among that task's pieces of its length."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = tokens_of(tokenizer_path), TaskContext.get().partitionId()
+        tokens, part = Tokens(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
@@ -235,28 +223,24 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is the end id alone; longer documents are cut into pieces of `capacity`, the first taking the
-    remainder. Repeated rows are packed each; no document is dropped. An empty table gives no pieces.
+    remainder. Repeated rows are packed each; no document is dropped. An empty table gives no pieces. Other columns of
+    docs are ignored, whatever their names.
     """
     pieces = durable(tokenised_pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id))
     by_task = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_task.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    ranked = pieces.join(offsets, ["length", "part"]).withColumn("rank", F.col("earlier") + F.col("nth"))
     # At most `capacity` counts come to the driver, whatever the input.
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     plan, _ = best_fit_plan(counts, capacity)
-    ranked = pieces.join(offsets, ["length", "part"]).withColumn("rank", F.col("earlier") + F.col("nth")).drop("part", "nth", "earlier")
-    plan.sort()
-    table = np.array(plan, dtype=np.int64).reshape(-1, 6)
-    stride = max(counts.values(), default=0) + 1
-    keys = table[:, 0] * stride + table[:, 1]
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("length", "rank"))
-            row = table[np.searchsorted(keys, length * stride + rank, side="right") - 1]
-            nth = rank - row[:, 1]
-            kept = [batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "piece", "start", "length", "ids_crc32")]
-            placed = [pa.array(row[:, 4] + nth // row[:, 3]), pa.array(row[:, 5] + nth % row[:, 3] * length)]
-            yield pa.RecordBatch.from_arrays([*kept, *placed], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
-
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    rows = docs.sparkSession.createDataFrame(plan, PLAN_SCHEMA)
+    chunk = lambda rank: F.floor(rank / RANKS)
+    slots = rows.withColumn("chunk", F.explode(F.sequence(chunk(F.col("first")), chunk(F.col("first") + F.col("n") - 1))))
+    # How long the plan is follows from itself: chunks of ranks, and rows that begin inside one.
+    if len(plan) + sum(n for _, _, n, *_ in plan) // RANKS + len(plan) <= BROADCAST_ROWS:
+        slots = F.broadcast(slots)
+    met = ranked.withColumn("chunk", chunk(F.col("rank"))).join(slots, ["length", "chunk"]).where("rank >= first and rank < first + n")
+    nth = F.col("rank") - F.col("first")
+    sequence, offset = F.col("sequence") + F.floor(nth / F.col("each")), F.col("at") + nth % F.col("each") * F.col("length")
+    return met.select("doc_id", "piece", "start", "length", "ids_crc32", sequence.alias("sequence_id"), offset.alias("offset"))

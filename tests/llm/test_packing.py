@@ -55,9 +55,9 @@ def test_ids_are_those_of_the_tokenizer():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     rng, letters = random.Random(1), "a bé\n\t  .,'s 　\x1c\x1f1² \x85<|endoftext|>\rßΩ漢"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + ["", " ", "  a", "a  ", "\n", "don't  stop, won't"]
+    texts += ["<|endoftext|>", "a <|endoftext|> b", "a\n<|endoftext|>\n b<|endoftext|>c  <|endoftext|>", "x\u3000y z\x1cw"]
     tokens = packing.Tokens(PATH)
     for _ in range(2):  # the second time from memory
         got = tokens.encode(pa.array(texts, pa.string()))
@@ -67,11 +67,16 @@ def test_ids_are_those_of_the_tokenizer():
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 50)
     tokens = packing.Tokens(PATH)
-    before = [x.tolist() for x in tokens.encode(pa.array(["w" + str(i) for i in range(300)]))]
-    assert len(tokens.known) <= 50 and before == [x.tolist() for x in tokens.encode(pa.array(["w" + str(i) for i in range(300)]))]
+    texts = pa.array(["a w" + str(i) for i in range(300)])
+    before = [x.tolist() for x in tokens.encode(texts)]
+    for _ in range(3):  # what was learned is forgotten in between
+        assert before == [x.tolist() for x in tokens.encode(texts)] and len(tokens.known) <= 301
 
 
-def test_pieces_and_places(spark):
+@pytest.mark.parametrize("ranks,broadcast_rows", [(packing.RANKS, packing.BROADCAST_ROWS), (7, 0)])
+def test_pieces_and_places(spark, monkeypatch, ranks, broadcast_rows):
+    monkeypatch.setattr(packing, "RANKS", ranks)
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", broadcast_rows)
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(PATH)
