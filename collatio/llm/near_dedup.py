@@ -7,9 +7,9 @@ sketches' XOR tells high similarities precisely, so it sorts out candidates befo
 confirmed on full sets.
 
 A bucket of m classes makes m - 1 candidates, not m**2 / 2: each class with the bucket's hub, the class that shares
-most bands with others. Classes that still share a bucket without being connected then meet in blocks: those outside the
-largest component of their candidate cluster are compared with all classes of the cluster, and a link is put out
-only where it joins two components. So no pair that shares a band stays untested unless it is connected already.
+most bands with others. In a bucket whose classes are not all connected after that, those outside its largest component
+are compared with all others, in blocks bounded by rows and by bytes: nearest sketches first, and only until two
+components are linked. So no pair that shares a band stays untested unless it is connected already.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collatio.llm.components import components
-from collatio.llm.shared import durable
+from collatio.llm.shared import durable, unused
 from collatio.llm.shingles import WordHashes, mix, shared, shingle_set
 
 BANDS, ROWS = 32, 5
@@ -33,8 +33,11 @@ SKETCH_WORDS = 8
 SKETCH_BITS = 64 * SKETCH_WORDS
 #: Candidates whose sketches put them this far below the threshold are dropped: over 5 standard deviations of the estimate.
 SLACK = 0.2
-#: Classes of a cluster that a task compares: rows of strays and of members.
+#: Classes of a bucket that a task compares: strays and members, and the bytes of sets of either.
 STRAYS, MEMBERS = 256, 2048
+BLOCK_BYTES = 16_000_000
+#: Classes whose sets are wanted up to which their keys (24 bytes each) are broadcast, so that no other text moves.
+BROADCAST_ROWS = 200_000
 
 _random = np.random.default_rng(20240607)
 _XOR = _random.integers(0, 2**32, SAMPLES, dtype=np.uint32)
@@ -102,18 +105,21 @@ def signatures(docs: DataFrame, ngram: int) -> DataFrame:
     return docs.mapInArrow(sign, SIGNATURE)
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
-    """The shingle sets of the wanted classes (node, id_key, text_hash): only their texts are read again into Python."""
-    texts = docs.join(wanted, ["id_key", "text_hash"]).select("node", "text")
+def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
+    """(node, items): the shingle sets of the wanted nodes: only their texts are read again into Python."""
+    keys = durable(nodes.join(wanted.select("node").distinct(), "node").select("node", "id_key", "text_hash"))
+    texts = docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, ["id_key", "text_hash"]).select("node", "text")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), ngram, known).tobytes() for t in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "items"])
+            for lo in range(0, len(batch), 256):
+                part = batch.slice(lo, 256)
+                sets = [shingle_set(t.as_py(), ngram, known).tobytes() for t in part.column(1).cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "items"])
 
     # Rows that repeat id and text give one class several times.
-    return texts.mapInArrow(expand, "node long, items binary").groupBy("node").agg(F.max("items").alias("items"))
+    return durable(texts.mapInArrow(expand, "node long, items binary").groupBy("node").agg(F.max("items").alias("items")))
 
 
 def _sketch_bits(a: str, b: str) -> Column:
@@ -123,8 +129,9 @@ def _sketch_bits(a: str, b: str) -> Column:
     return total
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, ngram: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have at least `percent` of their union in common."""
+    sets = _full_sets(docs, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")), ngram)
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,16 +143,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = sets.select(F.col("node").alias("a"), F.col("items").alias("x")), sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
+    return durable(pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long"))
 
 
 def _block_links(table: pa.Table, percent: int) -> pa.Table:
-    """Links between the strays and the members of one block that join different components."""
-    names = {n: table[n].combine_chunks() for n in ("node", "comp", "stray", "items", "n_shingles")}
-    node, comp, sizes = (names[n].to_numpy() for n in ("node", "comp", "n_shingles"))
-    stray = names["stray"].to_numpy(zero_copy_only=False)
-    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-    sketch = table["sketch"].combine_chunks().flatten().to_numpy().view(np.uint8).reshape(len(node), -1)
+    """Links between the strays and the members of one block of a bucket that join different components.
+
+    A pair that shares several bands is tested in the bucket of the first one only.
+    """
+    columns = {n: table[n].combine_chunks() for n in ("key", "node", "comp", "n_shingles", "stray", "keys", "sketch", "items")}
+    key, node, comp, sizes = (columns[n].to_numpy() for n in ("key", "node", "comp", "n_shingles"))
+    stray, items = columns["stray"].to_numpy(zero_copy_only=False), columns["items"]
+    keys = columns["keys"].flatten().to_numpy().reshape(-1, BANDS)
+    sketch = columns["sketch"].flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
     members = np.flatnonzero(~stray)
     limit = most_bits(percent / 100 - SLACK)
     root: dict[int, int] = {}
@@ -158,14 +168,15 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     out: list[tuple[int, int]] = []
     for s in np.flatnonzero(stray):
         near = members[(comp[members] != comp[s]) & (100 * np.minimum(sizes[members], sizes[s]) >= percent * np.maximum(sizes[members], sizes[s]))]
-        near = near[(keys[near] == keys[s]).any(axis=1)]
+        same = keys[near] == keys[s]
+        near = near[same[np.arange(len(near)), same.argmax(axis=1)] & (keys[s][same.argmax(axis=1)] == key[s])]
         bits = np.bitwise_count(sketch[near] ^ sketch[s]).sum(axis=1, dtype=np.int64)
         near = near[bits <= limit][np.argsort(bits[bits <= limit], kind="stable")]
-        own = np.frombuffer(names["items"][int(s)].as_py(), dtype=np.uint64)
+        own = np.frombuffer(items[int(s)].as_py(), dtype=np.uint64)
         for m in near:
             if find(int(comp[s])) == find(int(comp[m])):
                 continue
-            other = np.frombuffer(names["items"][int(m)].as_py(), dtype=np.uint64)
+            other = np.frombuffer(items[int(m)].as_py(), dtype=np.uint64)
             both = shared(own, other)
             if 100 * both >= percent * (len(own) + len(other) - both):
                 out.append((int(node[s]), int(node[m])))
@@ -173,34 +184,42 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
-def _leftover_links(members: DataFrame, links: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links between classes that share a bucket but no component of the links so far."""
-    comp = F.coalesce("comp", "node").alias("comp")
-    placed = members.join(components(links), "node", "left").select("key", "node", comp)
+def _leftover_links(members: DataFrame, links: DataFrame, docs: DataFrame, nodes: DataFrame, ngram: int, percent: int) -> DataFrame | None:
+    """Links between classes that share a bucket but no component of the links so far; None if there are no such classes."""
+    placed = members.join(components(links), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    placed = placed.join(nodes.select("node", "n_shingles"), "node")
+    rows, size = F.count("*").alias("rows"), F.sum(8 * F.col("n_shingles")).alias("bytes")
+    sizes = durable(placed.groupBy("key", "comp").agg(rows, size))
+    top = F.max(F.struct("rows", "comp", "bytes")).alias("top")
     # A bucket of two has been tested whole.
-    mixed = durable(placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"), F.min("node").alias("first")).where("lo <> hi and n > 2"))
-    inside = durable(placed.join(mixed, "key").select("node", "comp", "first"))
-    if inside.isEmpty():
+    mixed = sizes.groupBy("key").agg(F.count("*").alias("comps"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), top).where("comps > 1 and rows > 2")
+
+    def blocks(n: Column, most: int, size: Column) -> Column:
+        return F.greatest(F.ceil(n / most), F.ceil(size / BLOCK_BYTES))
+
+    mixed = durable(mixed.select("key", F.col("top.comp").alias("main"), blocks(F.col("rows") - F.col("top.rows"), STRAYS, F.col("bytes") - F.col("top.bytes")).alias("n_i"), blocks(F.col("rows"), MEMBERS, F.col("bytes")).alias("n_j")))
+    if mixed.isEmpty():
         return None
-    cluster = components(inside.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")))
-    own = durable(inside.select("node", "comp").distinct().join(cluster.select("node", F.col("comp").alias("cluster")), "node"))
-    sizes = own.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("cluster").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all")).select("cluster", F.col("top.comp").alias("main"), "all", (F.col("all") - F.col("top.n")).alias("strays"))
-    rows = own.join(main, "cluster").join(nodes, "node").join(sets, "node")
+    inside = durable(placed.join(mixed, "key"))
+    sets = _full_sets(docs, nodes, inside, ngram)
+    # The sets of a class go to each block that it is in; what a block holds is bounded, but for sets that alone are larger.
+    rows = inside.drop("n_shingles").join(nodes.select("node", "n_shingles", "keys", "sketch").join(sets, "node"), "node")
     slot, columns = F.xxhash64("node"), ["node", "comp", "n_shingles", "keys", "sketch", "items"]
-    n_i, n_j = F.ceil(F.col("strays") / STRAYS), F.ceil(F.col("all") / MEMBERS)
-    left = rows.where("comp <> main").select("cluster", F.pmod(slot, n_i).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), n_j - 1)).alias("j"), F.lit(True).alias("stray"), *columns)
-    right = rows.select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), n_i - 1)).alias("i"), F.pmod(slot, n_j).alias("j"), F.lit(False).alias("stray"), *columns)
-    return left.unionByName(right).groupBy("cluster", "i", "j").applyInArrow(lambda t: _block_links(t, percent), "a long, b long")
+    left = rows.where("comp <> main").select("key", F.pmod(slot, "n_i").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_j") - 1)).alias("j"), F.lit(True).alias("stray"), *columns)
+    right = rows.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_i") - 1)).alias("i"), F.pmod(slot, "n_j").alias("j"), F.lit(False).alias("stray"), *columns)
+    return durable(left.unionByName(right).groupBy("key", "i", "j").applyInArrow(lambda t: _block_links(t, percent), "a long, b long"))
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, ngram: int, percent: int) -> DataFrame:
     """(row, doc_id, text_hash, n_shingles, first) for every row of docs; first is the struct of the row that stays."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    id_key = F.coalesce(F.col("doc_id"), F.lit(-(2**62))).alias("id_key")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     signed = durable(signatures(source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash", "text"), ngram))
-    classes = signed.where("n_shingles > 0").groupBy("set_id").agg(F.min("row").alias("node"))
-    nodes = durable(signed.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "doc_id", "text_hash", "n_shingles", "keys", "sketch"))
+    texts = source.select(id_key, "text_hash", "text")
+    worded = signed.where("n_shingles > 0")
+    classes = worded.groupBy("set_id").agg(F.min("row").alias("node"))
+    nodes = durable(worded.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), id_key, "text_hash", "n_shingles", "keys", "sketch"))
     entries = nodes.select("node", F.explode("keys").alias("key"))
     # Aggregates are written on their own before they are joined back: Spark can split a hot key only where both sides come straight from exchanges.
     buckets = durable(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
@@ -212,19 +231,16 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, ngram: int, percent: i
     a, b = (light.select(*[F.col(c).alias(f"{side}_{c}") for c in light.columns]) for side in ("a", "b"))
     near = pairs.join(a, F.col("a") == F.col("a_node")).join(b, F.col("b") == F.col("b_node"))
     near = near.where((_sketch_bits("a_sketch", "b_sketch") <= most_bits(percent / 100 - SLACK)) & (100 * F.least("a_n_shingles", "b_n_shingles") >= percent * F.greatest("a_n_shingles", "b_n_shingles"))).select("a", "b")
-    near = durable(near)
-    crowded = members.where("n > 2").select("node")
-    needed = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).unionByName(crowded).distinct()
-    id_key = F.coalesce(F.col("doc_id"), F.lit(-(2**62))).alias("id_key")
-    wanted = nodes.join(needed, "node").select("node", id_key, "text_hash")
-    sets = durable(_full_sets(source.select(id_key, "text_hash", "text"), wanted, ngram))
-    links = durable(_confirmed(near, sets, percent))
-    rest = _leftover_links(members, links, nodes.select("node", "n_shingles", "keys", "sketch"), sets, percent)
+    links = _confirmed(durable(near), texts, nodes, ngram, percent)
+    rest = _leftover_links(members.where("n > 2"), links, texts, nodes, ngram, percent)
     found = components(links if rest is None else links.unionByName(rest))
     joined = classes.join(found, "node", "left").select("set_id", F.coalesce("comp", "node").alias("comp"))
-    placed = durable(signed.select("row", "doc_id", "text_hash", "n_shingles", "set_id").join(joined, "set_id", "left").withColumn("comp", F.coalesce("comp", "row")))
-    first = durable(placed.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")))
-    return placed.join(first, "comp").select("row", "doc_id", "text_hash", "n_shingles", "first")
+    rows = ["row", "doc_id", "text_hash", "n_shingles"]
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("first")
+    placed = durable(worded.select(*rows, "set_id").join(joined, "set_id"))
+    first = durable(placed.groupBy("comp").agg(F.min(own).alias("first")))
+    alone = signed.where("n_shingles = 0").select(*rows, own)
+    return placed.join(first, "comp").select(*rows, "first").unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 5, percent: int = 80) -> DataFrame:
@@ -233,19 +249,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts are linked when their sets of distinct `ngram`-word shingles (the whole sequence if shorter) have at least
     `percent` of their union in common. component_id is the smallest id that links lead to, kept marks the row that
     has it. Null and wordless texts have no shingles and are linked with nothing. Null ids come after all others;
-    of rows that repeat an id as well, one is kept. An empty table gives an empty result.
+    of rows that repeat an id as well, one is kept. An empty table gives an empty result. Other columns of docs are
+    ignored, whatever their names.
     """
     found = _grouped(docs, id_col, text_col, ngram, percent)
     return found.select("doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), (F.col("first.row") == F.col("row")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that near_duplicates marks as kept, with all their columns; of rows that repeat id and text one."""
-    keys = [F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**62))), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))]
-    found = _grouped(docs, id_col, text_col, ngram, percent).where(F.col("first.row") == F.col("row"))
-    kept = found.where("n_shingles > 0").select(F.coalesce("doc_id", F.lit(-(2**62))).alias("_k0"), F.col("text_hash").alias("_k1"))
-    wordless = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.withColumns({"_k0": keys[0], "_k1": keys[1], "_worded": wordless})
-    alone = rows.where(~F.col("_worded"))
-    once = rows.where("_worded").join(kept, ["_k0", "_k1"], "left_semi").dropDuplicates(["_k0", "_k1"])
-    return once.unionByName(alone).select(*docs.columns)
+    """The rows of docs that near_duplicates marks as kept, with all their columns, whatever their names; of rows that repeat id and text one."""
+    k0, k1 = unused(docs, "id_key", "text_hash")
+    found = _grouped(docs, id_col, text_col, ngram, percent).where("first.row = row")
+    kept = found.where("n_shingles > 0").select(F.coalesce("doc_id", F.lit(-(2**62))).alias(k0), F.col("text_hash").alias(k1))
+    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.where(worded).withColumns({k0: F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**62))), k1: F.xxhash64(F.col(text_col))})
+    once = rows.join(kept, [k0, k1], "left_semi").dropDuplicates([k0, k1]).select(*docs.columns)
+    return once.unionByName(docs.where(~worded))

@@ -12,15 +12,43 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage: the rows go to the folder that the whole cluster shares (spark.checkpoint.dir).
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores in front as make it differ from all columns of df, so that no column is overwritten."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def free_of(df: DataFrame, *names: str) -> None:
+    """Columns that an operator adds must not be there already: an error names those that are."""
+    taken = {c.lower() for c in df.columns}
+    if clash := [n for n in names if n.lower() in taken]:
+        raise ValueError(f"the input has columns of the names that are to be added: {', '.join(clash)}; rename them or choose another prefix")
+
 
-    A folder of our own is set only where the session names none, as in local tests.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the whole cluster shares: spark.checkpoint.dir.
+
+    A temporary one is made only where the session names none and runs on one machine, as in tests; a cluster without one is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    if found := context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
+        return found
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="checkpoints-")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage: the rows go to the folder that the whole cluster shares."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return _tidy(df).checkpoint()
 
 
