@@ -23,10 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from collatio.llm.shared import durable
+from collatio.llm.shared import durable, unused
 
 #: Words that a repeated run has at least.
 MIN_WORDS = 50
+#: Deletions up to which they are broadcast to the texts; more of them meet the texts in a shuffle.
+BROADCAST_BYTES = 16_000_000
 PLACE = ["id_key", "text_hash", "i"]
 LINES = "id_key long, text_hash long, i int, line int, h1 long, h2 long, ahead int, back int"
 
@@ -129,20 +131,27 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """docs with text_col cleaned, and n_lines and n_removed added.
 
     A run of lines with at least min_words words that occurred before, in a document of smaller id or earlier in the
-    same one (it may overlap its copy, so of one line said a thousand times the first stays), is deleted; blank lines neither break runs nor go with them. Lines are equal when their bytes are. Null
-    ids come before all others; null texts stay null and have no line; rows that repeat id and text fare alike. All
-    other columns and all rows stay.
+    same one (it may overlap its copy, so of one line said a thousand times the first stays), is deleted; blank lines
+    neither break runs nor go with them. Lines are equal when their bytes are. Null ids come before all others; null
+    texts stay null and have no line; rows that repeat id and text fare alike. All other columns and all rows stay, but
+    for columns that are called n_lines or n_removed, which give way to the new ones.
     """
+    docs = docs.drop("n_lines", "n_removed")
     text = F.coalesce(F.col(text_col), F.lit(""))
     id_key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**62)))
     source = docs.select(id_key.alias("id_key"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     active, later = repeated_runs(source, min_words)
     covered = later.select("id_key", "text_hash", F.explode(F.sequence("i", F.col("i") + F.col("lines") - 1)).alias("i")).distinct()
-    gone = covered.join(active.select(*PLACE, "line"), PLACE).groupBy("id_key", "text_hash").agg(F.collect_set("line").alias("_gone"))
-    keyed = docs.withColumns({"_id_key": id_key, "_text_hash": F.xxhash64(text)})
-    joined = keyed.join(gone.withColumnsRenamed({"id_key": "_id_key", "text_hash": "_text_hash"}), ["_id_key", "_text_hash"], "left")
+    k0, k1, gone = unused(docs, "id_key", "text_hash", "gone")
+    found = covered.join(active.select(*PLACE, "line"), PLACE).groupBy("id_key", "text_hash").agg(F.collect_list("line").alias(gone))
+    found = durable(found.withColumnsRenamed({"id_key": k0, "text_hash": k1}))
+    size = found.agg(F.count("*"), F.sum(F.size(gone))).first()
+    # Some 40 bytes a document and 4 a line: where that is little, no text has to move.
+    small = 40 * size[0] + 4 * (size[1] or 0) <= BROADCAST_BYTES
+    joined = docs.withColumns({k0: id_key, k1: F.xxhash64(text)}).join(F.broadcast(found) if small else found, [k0, k1], "left")
     parts = F.split(F.col(text_col), "\n")
-    kept = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
+    cleaned = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long")
-    return joined.withColumns({text_col: cleaned, "n_lines": n_lines, "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}).select(*docs.columns, "n_lines", "n_removed")
+    counted = joined.withColumns({"n_lines": n_lines, "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long"), text_col: cleaned})
+    return counted.select(*docs.columns, "n_lines", "n_removed")
