@@ -1,8 +1,8 @@
 """Chat formatting by schema fingerprints, in DataFrame functions only.
 
 A record's nested field paths are hashed; the hash selects a declarative mapping that turns the record into canonical
-turns. The template writes a turn as `<|turn|>role\\ntext<|end|>`. Inside roles and texts `&`, `<` and `[` are written
-as character references, so no text can hold a marker of this template, nor one of the usual bracketed or angled ones,
+turns. The template writes a turn as `<|turn|>role\\ntext<|end|>`. Inside roles and texts `&`, `<` and `[`, and new
+lines in roles, are written as character references, so no text can hold a marker of this template, nor one of the usual bracketed or angled ones,
 and reading back undoes it exactly.
 """
 
@@ -13,8 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from collatio.llm.shared import unused
+
 TURN, END = "<|turn|>", "<|end|>"
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;"))
+#: Roles end at the first new line, so theirs are written as references too.
+ROLE_ESCAPES = (*ESCAPES, ("\n", "&#10;"))
 #: Turns of a conversation that are gathered in one array; longer conversations are put together from such blocks.
 BLOCK = 256
 
@@ -89,28 +93,32 @@ def canonical_turns(records: DataFrame, record: str, layouts: tuple[Layout, ...]
     """records with `layout` and `turns` (array of role and text) in place of their variant column.
 
     A record whose fingerprint no layout has keeps layout and turns null: nothing is guessed and no row is lost.
-    Null roles and texts read as empty; a null record matches no layout.
+    Null roles and texts read as empty; a null record matches no layout. Columns of records that are called layout or
+    turns give way to the new ones; all others stay.
     """
     spark = records.sparkSession
+    records = records.drop(*({"layout", "turns"} - {record}))
+    (printed,) = unused(records, "print")
     examples = spark.range(1).select(*[fingerprint(F.parse_json(F.lit(x.example))).alias(str(i)) for i, x in enumerate(layouts)]).first()
     chosen = name = None
     roles = F.create_map(*[F.lit(x) for pair in ROLE_NAMES.items() for x in pair])
     for i, layout in enumerate(layouts):
-        hit = F.col("_print") == F.lit(examples[i])
+        hit = F.col(printed) == F.lit(examples[i])
         turns = F.transform(_mapped(F.col(record), layout), lambda t: _turn(F.coalesce(roles[t["role"]], t["role"]), t["text"]))
         chosen = F.when(hit, turns) if chosen is None else chosen.when(hit, turns)
         name = F.when(hit, F.lit(layout.name)) if name is None else name.when(hit, F.lit(layout.name))
-    return records.withColumn("_print", fingerprint(F.col(record))).withColumns({"layout": name, "turns": chosen}).drop("_print", record)
+    rest = [c for c in records.columns if c != record]
+    return records.withColumn(printed, fingerprint(F.col(record))).select(*rest, name.alias("layout"), chosen.alias("turns"))
 
 
-def escape(text: Column) -> Column:
-    for plain, written in ESCAPES:
+def escape(text: Column, escapes: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
+    for plain, written in escapes:
         text = F.replace(text, F.lit(plain), F.lit(written))
     return text
 
 
-def unescape(text: Column) -> Column:
-    for plain, written in reversed(ESCAPES):
+def unescape(text: Column, escapes: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
+    for plain, written in reversed(escapes):
         text = F.replace(text, F.lit(written), F.lit(plain))
     return text
 
@@ -120,8 +128,8 @@ def render(turns: Column) -> tuple[Column, Column]:
 
     The mask covers the written text of every assistant turn and nothing else.
     """
-    formatted = F.array_join(F.transform(turns, lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit("\n"), escape(t["text"]), F.lit(END))), "")
-    spans = F.transform(turns, lambda t, i: F.struct(i.alias("turn"), (F.length(escape(t["role"])) + len(TURN) + 1).alias("start"), F.length(escape(t["text"])).alias("length"), t["role"].alias("role")))
+    formatted = F.array_join(F.transform(turns, lambda t: F.concat(F.lit(TURN), escape(t["role"], ROLE_ESCAPES), F.lit("\n"), escape(t["text"]), F.lit(END))), "")
+    spans = F.transform(turns, lambda t, i: F.struct(i.alias("turn"), (F.length(escape(t["role"], ROLE_ESCAPES)) + len(TURN) + 1).alias("start"), F.length(escape(t["text"])).alias("length"), t["role"].alias("role")))
     mask = F.transform(F.filter(spans, lambda s: s["role"] == "assistant"), lambda s: s.dropFields("role"))
     return formatted, mask
 
@@ -130,7 +138,7 @@ def read_back(formatted: Column) -> Column:
     """The turns of a formatted string, unescaped."""
     parts = F.filter(F.split(formatted, r"<\|end\|>"), lambda p: p != "")
     bodies = F.transform(parts, lambda p: F.substr(p, F.lit(len(TURN) + 1)))
-    return F.transform(bodies, lambda b: _turn(unescape(F.substring_index(b, "\n", 1)), unescape(F.substr(b, F.instr(b, "\n") + 1))))
+    return F.transform(bodies, lambda b: _turn(unescape(F.substring_index(b, "\n", 1), ROLE_ESCAPES), unescape(F.substr(b, F.instr(b, "\n") + 1))))
 
 
 def masked_text(formatted: Column, mask: Column) -> Column:

@@ -21,6 +21,7 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: Rows of benchmark word runs up to which they are broadcast; a larger benchmark is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+OUTPUT = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hits")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -87,8 +88,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     A document word inside any occurrence of a window is hit; contaminated if n_hit > 0 and 20 * n_hit >= n_words.
     Null texts have no words; items without words have no window; rows that repeat are judged one by one; ids of
-    items with equal words all count. Without any item every document is clean.
+    items with equal words all count. Without any item every document is clean. Columns of `keep` that have the name of
+    one of the others give way to it; other columns of docs are ignored.
     """
+    keep = tuple(c for c in keep if c.lower() not in OUTPUT)
     reach = (window + 1) // 2
     runs, sizes = item_runs(benchmark, window=window)
     small = runs is None or runs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS

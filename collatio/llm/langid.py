@@ -210,9 +210,12 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", prefi
     """docs with lang_pred (string), score (double, 0 to 1) and ambiguous (boolean) added, their names after `prefix`.
 
     lang_pred is a learned language, or "und" with score 0 for null texts and texts without a letter, and everywhere
-    if nothing was learned. Whole texts are read; the row count and all other columns stay as they are.
+    if nothing was learned. Of languages that are equally near the first in order of names is given. Whole texts are
+    read; the row count and all other columns stay as they are, but for columns that have the names of the new ones,
+    which give way.
     """
     added = [f"{prefix}lang_pred", f"{prefix}score", f"{prefix}ambiguous"]
+    docs = docs.drop(*added)
     if model is None:
         return docs.withColumns(dict(zip(added, (F.lit(UNKNOWN), F.lit(0.0), F.lit(False)), strict=True)))
     shared_model = docs.sparkSession.sparkContext.broadcast(model)
