@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +9,20 @@ from pyspark.sql import functions as F
 
 from collatio.llm import decontaminate, langid, line_dedup, near_dedup, packing
 from collatio.llm.queries import tokenizer_path
-from collatio.llm.shared import load
+from collatio.llm.shared import load, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter and texts whose language stays ambiguous go; lang keeps what the source says."""
-    scored = langid.identify(docs.select(*COLUMNS), langid.train(docs), prefix="_")
+    """Texts without a letter and texts whose language stays ambiguous go; lang keeps what the source says.
+
+    Documents none of which has a language to learn from are an error, since all would be rejected; none at all are none.
+    """
+    model = langid.train(docs)
+    if model is None and not docs.isEmpty():
+        raise ValueError("no document outside the held-out fold has a text and a language to learn from")
+    scored = langid.identify(docs.select(*COLUMNS), model, prefix="_")
     return scored.where((F.col("_lang_pred") != langid.UNKNOWN) & ~F.col("_ambiguous")).select(*COLUMNS)
 
 
@@ -57,10 +62,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written to the cluster's shared folder and read again."""
-    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = f"{folder}/pipeline-{uuid.uuid4().hex}/{name}"
+        path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
