@@ -6,7 +6,8 @@ among the 7-word runs of the items: one lookup for 7 words instead of one for ea
 comparing them word by word with the item's verifies it and says how far the windows reach. Items of m < 13 words use
 blocks of (m + 1) // 2 words in the same way.
 
-Documents are read once and never shuffled; what is shuffled is a header a document and its verified hits.
+Texts are never shuffled unless they are asked for with `keep`; what is shuffled is a header a document and its
+verified hits.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from collatio.llm.shared import durable, unused
+
 #: A word, before A-Z is lowered: the class also admits A-Z, which lowering maps into it.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -148,6 +151,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that contamination doesn't call contaminated, with all their columns, whatever their names.
+
+    Texts don't go through the search: the keys of contaminated documents, id and hash of the text, are joined back.
+    """
+    k0, k1 = unused(docs, "id_key", "text_hash")
+    keyed = docs.withColumns({k0: F.coalesce(F.col(id_col).cast("string"), F.lit("")), k1: F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    found = contamination(keyed.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"), F.col(k0).alias("id_key"), F.col(k1).alias("text_hash")), benchmark, keep=("id_key", "text_hash"))
+    gone = durable(found.where("contaminated").select(F.col("id_key").alias(k0), F.col("text_hash").alias(k1)).distinct())
+    return keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, [k0, k1], "left_anti").select(*docs.columns)
+
+
 def remove_spans(text: Column, hits: Column) -> Column:
     """text without the words of the given spans, each going with the separators in front of it; the tail stays."""
     gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from collatio.llm.shared import held_out
+from collatio.llm.shared import held_out, releasing
 from collatio.llm.shingles import STEP, mix
 
 #: Buckets of the n-gram hash, and the lengths of the n-grams of a word written between two blanks.
@@ -233,4 +233,4 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", prefi
 
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(added, kinds, strict=True))])
-    return docs.mapInArrow(predict, schema)
+    return docs.mapInArrow(releasing(predict), schema)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from collatio.llm.shared import durable, unused
+from collatio.llm.shared import durable, releasing, unused
 
 #: Words that a repeated run has at least.
 MIN_WORDS = 50
@@ -67,7 +67,7 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                 names = [x.split()[0] for x in LINES.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return docs.mapInArrow(cut, LINES)
+    return docs.mapInArrow(releasing(cut), LINES)
 
 
 def _ranked(counts: DataFrame, keys: list[str]) -> DataFrame:

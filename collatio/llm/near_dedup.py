@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collatio.llm.components import components
-from collatio.llm.shared import durable, unused
+from collatio.llm.shared import durable, releasing, unused
 from collatio.llm.shingles import WordHashes, mix, shared, shingle_set
 
 BANDS, ROWS = 32, 5
@@ -35,7 +35,7 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 SLACK = 0.2
 #: Classes of a bucket that a task compares: strays and members, and the bytes of sets of either.
 STRAYS, MEMBERS = 256, 2048
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Classes whose sets are wanted up to which their keys (24 bytes each) are broadcast, so that no other text moves.
 BROADCAST_ROWS = 200_000
 
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, ngram: int) -> DataFrame:
             columns = [batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()), *lists]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "text_hash", "n_shingles", "set_id", "keys", "sketch"])
 
-    return docs.mapInArrow(sign, SIGNATURE)
+    return docs.mapInArrow(releasing(sign), SIGNATURE)
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, ngram: int) -> DataFrame:
@@ -119,7 +119,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, ngram: int)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["node", "items"])
 
     # Rows that repeat id and text give one class several times.
-    return durable(texts.mapInArrow(expand, "node long, items binary").groupBy("node").agg(F.max("items").alias("items")))
+    return durable(texts.mapInArrow(releasing(expand), "node long, items binary").groupBy("node").agg(F.max("items").alias("items")))
 
 
 def _sketch_bits(a: str, b: str) -> Column:
@@ -258,10 +258,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs that near_duplicates marks as kept, with all their columns, whatever their names; of rows that repeat id and text one."""
-    k0, k1 = unused(docs, "id_key", "text_hash")
-    found = _grouped(docs, id_col, text_col, ngram, percent).where("first.row = row")
-    kept = found.where("n_shingles > 0").select(F.coalesce("doc_id", F.lit(-(2**62))).alias(k0), F.col("text_hash").alias(k1))
-    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.where(worded).withColumns({k0: F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**62))), k1: F.xxhash64(F.col(text_col))})
-    once = rows.join(kept, [k0, k1], "left_semi").dropDuplicates([k0, k1]).select(*docs.columns)
-    return once.unionByName(docs.where(~worded))
+    k0, k1, kept = unused(docs, "id_key", "text_hash", "kept")
+    found = _grouped(docs, id_col, text_col, ngram, percent).where("n_shingles > 0")
+    keys = found.groupBy(F.coalesce("doc_id", F.lit(-(2**62))).alias(k0), F.col("text_hash").alias(k1)).agg(F.max(F.col("first.row") == F.col("row")).alias(kept), F.count("*").alias("n"))
+    # Keys whose rows don't all stay: few where few texts are copies, and then no text has to move.
+    marked = durable(keys.where(~F.col(kept) | (F.col("n") > 1)).select(k0, k1, kept))
+    rows = docs.withColumns({k0: F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**62))), k1: F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    joined = rows.join(F.broadcast(marked) if marked.count() <= BROADCAST_ROWS else marked, [k0, k1], "left")
+    whole = joined.where(F.col(kept).isNull()).select(*docs.columns)
+    if marked.where(kept).isEmpty():
+        return whole
+    return whole.unionByName(joined.where(kept).dropDuplicates([k0, k1]).select(*docs.columns))

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from collatio.llm.shared import durable
+from collatio.llm.shared import durable, releasing
 
 CAPACITY = 1024
 #: Text that a worker encodes at a time.
@@ -169,7 +169,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return source.mapInArrow(pieces, PIECE_SCHEMA)
+    return source.mapInArrow(releasing(pieces), PIECE_SCHEMA)
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int, int]], int]:

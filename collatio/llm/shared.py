@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -67,6 +71,29 @@ def _tidy(df: DataFrame) -> DataFrame:
         conf.set(TIDY, before)
 
 
+#: Bytes of an Arrow batch between the JVM and a Python worker. Texts are long, and both sides hold a batch and its successor.
+BATCH_BYTES = "4m"
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by BATCH_BYTES for the whole session, unless it has a bound of its own. No result depends on it."""
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, BATCH_BYTES)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after whose last batch the worker gives freed memory back to the system: workers outlive tasks and stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return wrapped
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no model learns from: crc32 of the id's decimal text leaves 2 when divided by 4."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
