@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from collatio.llm import decontaminate, langid, line_dedup, near_dedup, packing
 from collatio.llm.queries import tokenizer_path
-from collatio.llm.shared import load, shared_folder
+from collatio.llm.shared import load, shared_folder, small_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -19,6 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents none of which has a language to learn from are an error, since all would be rejected; none at all are none.
     """
+    small_batches(spark)
     model = langid.train(docs)
     if model is None and not docs.isEmpty():
         raise ValueError("no document outside the held-out fold has a text and a language to learn from")
@@ -40,8 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words a twentieth or more lies in benchmark windows go."""
-    judged = decontaminate.contamination(docs, load(spark, sf_dir, "benchmark"), keep=COLUMNS[1:])
-    return judged.where(~F.col("contaminated")).select(*COLUMNS)
+    return decontaminate.keep_clean(docs.select(*COLUMNS), load(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
