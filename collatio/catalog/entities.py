@@ -125,10 +125,10 @@ def apply_suggestions(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fuzzy_best_match(spark: SparkSession, d: str) -> DataFrame:
-    """JOIN-12 by length classes: customers' segments and nations' names against region names; difflib has no SQL twin."""
-    left = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_nationkey").alias("ord"), F.lower("n_name").alias("key"))
-    right = table(spark, d, "region").select(F.col("r_regionkey").alias("id"), F.col("r_regionkey").alias("ord"), F.lower("r_name").alias("key"))
-    return matching.best_matches(left, right, at_least=0.4)
+    """JOIN-12: every distinct part name against all others, written backwards word by word; difflib has no SQL twin."""
+    names = table(spark, d, "part").groupBy(F.col("p_name").alias("key")).agg(F.min("p_partkey").alias("id")).select("id", F.col("id").alias("ord"), "key")
+    turned = names.withColumn("key", F.array_join(F.reverse(F.split("key", " ")), " "))
+    return matching.best_matches(names, turned, at_least=0.6)
 
 
 @query()
@@ -156,17 +156,21 @@ def watchlist(spark: SparkSession, d: str) -> DataFrame:
     return ingest.watchlist(expected, table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k")), "k", "card_count").select("k", "reason")
 
 
-def _shared(spark: SparkSession) -> str:
-    """A new folder that driver and executors share."""
+def shared_path(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; a temporary one is for a session on one machine that names none."""
     from tempfile import mkdtemp
 
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or mkdtemp(prefix="streams-")
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = mkdtemp(prefix="streams-")
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 
 @query("SELECT user_id FROM events GROUP BY user_id")
 def stream_dedupe_equals_batch(spark: SparkSession, d: str) -> DataFrame:
-    at = _shared(spark)
+    at = shared_path(spark)
     events = table(spark, d, "events")
     events.select("user_id").repartition(4).write.parquet(f"{at}/in")
     twins.to_files(twins.deduplicated(twins.stream_of(spark, f"{at}/in", events.select("user_id").schema), "user_id"), f"{at}/checkpoint", f"{at}/out")
@@ -176,7 +180,7 @@ def stream_dedupe_equals_batch(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last FROM events GROUP BY event_type")
 def stream_watermark_equals_batch(spark: SparkSession, d: str) -> DataFrame:
     """STM-02 batch by batch: each micro-batch moves the state, a new version of which is written."""
-    at = _shared(spark)
+    at = shared_path(spark)
     events = table(spark, d, "events").select("event_type", "ts")
     events.repartition(4).write.parquet(f"{at}/in")
     empty = spark.createDataFrame([], "event_type string, last timestamp_ntz")

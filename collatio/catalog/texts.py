@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collatio.catalog.registry import query
-from collatio.functions import html, scalars, text, udfs
+from collatio.functions import html, scalars, terms, text, udfs
 from collatio.sources.readers import table
 
 
@@ -172,25 +172,37 @@ def array_translate(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.md5(F.array_join(named, ",")).alias("named"))
 
 
-@query()
+@query("SELECT p_partkey, replace(lower(p_name || '.' || p_brand), ' ', '') AS full, replace(lower(p_name || '.' || p_brand), ' ', '') AS medium, CASE WHEN p_size % 2 = 0 THEN '龍-' ELSE 'アδ' END || p_size AS folded FROM part")
 def normalize_key(spark: SparkSession, d: str) -> DataFrame:
-    """STR-01 and STR-02 over whole texts; NFKC and case folding have no SQL twin, so unit tests hold the rules."""
-    return table(spark, d, "part").select("p_partkey", udfs.normalized(F.concat("p_name", F.lit("・"), "p_brand")).alias("full"), udfs.normalized(F.concat("p_name", F.lit("・"), "p_brand"), full=False).alias("medium"))
+    """STR-01 and STR-02; of folded characters the SQL has those that are used here, unit tests have the others."""
+    name = F.concat("p_name", F.lit(" ・"), "p_brand")
+    folded = F.concat(F.when(F.col("p_size") % 2 == 0, "竜ー").otherwise("ぁデルタ"), "p_size", F.lit("__"))
+    return table(spark, d, "part").select("p_partkey", udfs.normalized(name).alias("full"), udfs.normalized(name, full=False).alias("medium"), udfs.normalized(folded).alias("folded"))
 
 
-@query()
+@query("SELECT doc_id, md5(CASE WHEN doc_id % 2 = 0 THEN 'When deployed ' || text || ' Hand' ELSE text || chr(10) || 'Lost ' || source || ' Guts  Guts' END) AS english FROM (SELECT doc_id, source, 'x' || replace(text, '手', '') || 'x' AS text FROM documents)")
 def term_replace_spacing(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "part").select("p_partkey", udfs.terms_replaced(F.concat("p_name", F.lit("を登場した時手札に加える"))).alias("english"))
+    """STR-29 over whole texts with terms in front and behind, beside letters, line ends and other terms."""
+    said = F.concat(F.lit("x"), F.replace(F.col("text"), F.lit("手"), F.lit("")), F.lit("x"))
+    whole = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("登場した時"), said, F.lit("手札"))).otherwise(F.concat(said, F.lit("\nロスト"), "source", F.lit("ガッツガッツ")))
+    return table(spark, d, "documents").select("doc_id", F.md5(terms.replaced(whole)).alias("english"))
 
 
-@query()
+@query("SELECT p_partkey, p_name || CASE p_size % 6 WHEN 0 THEN ' [Serve Area] [Toss Area]' WHEN 1 THEN ' [One Touch 0' || p_size || ']' WHEN 2 THEN ' [Block Phase] [Receive Phase] [From Hand]' WHEN 3 THEN ' [icon_other]' WHEN 4 THEN ' [A Pass]' ELSE ' [Two Attack 02] [Serve Phase]' END AS said FROM part")
 def icon_decode(spark: SparkSession, d: str) -> DataFrame:
-    icon = F.element_at(F.array(*[F.lit(x) for x in ("[icon_app_servetossarea]", "[icon_onetouch_03]", "[icon_blockreceivephase_tefuda]", "[icon_other]")]), (F.col("p_size") % 4 + 1).cast("int"))
-    return table(spark, d, "part").select("p_partkey", udfs.icons_decoded(F.concat("p_name", F.lit(" "), icon)).alias("said"))
+    size = F.col("p_size")
+    icons = [F.lit("[icon_app_servetossarea]"), F.concat(F.lit("[icon_onetouch_0"), size, F.lit("]")), F.lit("[icon_blockreceivephase_tefuda]"), F.lit("[icon_other]"), F.lit("[icon_apass]"), F.lit("[icon_twoattack_02] [icon_serve_tefuda]")]
+    return table(spark, d, "part").select("p_partkey", terms.decoded(F.concat("p_name", F.lit(" "), F.element_at(F.array(*icons), (size % 6 + 1).cast("int")))).alias("said"))
 
 
-@query()
+@query("SELECT p_partkey, p_name AS name, CAST(p_size AS VARCHAR) AS size FROM part")
 def label_pairs(spark: SparkSession, d: str) -> DataFrame:
     page = F.concat(F.lit("<table><tr><th>Name</th><td>"), "p_name", F.lit("</td><th>Size</th><td>"), F.col("p_size").cast("string"), F.lit("</td></tr></table>"))
     found = html.labelled(page)
     return table(spark, d, "part").select("p_partkey", found["Name"].alias("name"), found["Size"].alias("size"))
+
+
+@query("SELECT page_id, nullif(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '') AS title FROM pages")
+def label_sections(spark: SparkSession, d: str) -> DataFrame:
+    """STR-47 on whole pages: what stands between two labels of the markup."""
+    return table(spark, d, "pages").select("page_id", text.blank_to_null(text.section(F.col("html"), "<title>", "</title>")).alias("title"))

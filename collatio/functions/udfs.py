@@ -14,8 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from collatio.functions import terms
-
 #: Characters that name normalising takes for one another.
 KANJI = {"竜": "龍"}
 GREEK = {"デルタ": "Δ", "アルファ": "Α", "ベータ": "Β", "ガンマ": "Γ", "カイ": "Χ", "イプシロン": "Ε", "ゼータ": "Ζ"}
@@ -56,14 +54,6 @@ def normalized(c: Column, full: bool = True) -> Column:
     return _each(lambda t: normal_name(t, full))(c)
 
 
-def terms_replaced(c: Column) -> Column:
-    return _each(terms.replace_terms)(c)
-
-
-def icons_decoded(c: Column) -> Column:
-    return _each(terms.decode_icons)(c)
-
-
 def _glyph(found: re.Match) -> str:
     name = found[1].removeprefix("rune_").replace("_", " ")
     return "{" + " ".join(w.capitalize() for w in name.split()) + "}"

@@ -69,3 +69,8 @@ def union_all(*frames: DataFrame) -> DataFrame:
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """SET-02."""
     return union_all(*frames).distinct()
+
+
+def summary(df: DataFrame, value: str, order: str) -> DataFrame:
+    """AGG-01, AGG-09, AGG-10, AGG-20: number, maximum and sum of a column, and its first and last value by an ordinal."""
+    return df.agg(F.count("*").alias("n"), F.max(value).alias("largest"), F.sum(value).alias("total"), F.min_by(value, order).alias("first"), F.max_by(value, order).alias("last"))

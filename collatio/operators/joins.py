@@ -89,3 +89,23 @@ def flagged_absent(df: DataFrame, stored: DataFrame, key: str, column: str, suff
 
 def numbered(df: DataFrame, keys: list[str], *order: str) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+
+
+def merged_back(df: DataFrame, changed: DataFrame, key: str) -> DataFrame:
+    """JOIN-17: df with the rows of `changed`, a transformed part of it (one row a key), in place of its own."""
+    rest = [c for c in df.columns if c != key]
+    new = changed.select(F.col(key), F.struct(*rest).alias("_c"))
+    return df.join(new, key, "left").select(key, F.coalesce("_c", F.struct(*rest)).alias("_r")).select(key, "_r.*").select(*df.columns)
+
+
+def reused(df: DataFrame, stored: DataFrame, key: str, order: str, *fields: str) -> DataFrame:
+    """JOIN-18: null and "" fields from the first stored row with the same key."""
+    sibling = first_rows(stored.where(F.col(key).isNotNull()).select(key, order, *fields), [key], F.col(order))
+    joined = df.join(sibling.select(key, *[F.col(f).alias(f"_s_{f}") for f in fields]), key, "left")
+    return joined.select(*[F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"_s_{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in df.columns])
+
+
+def preserving(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
+    """JOIN-19 (Q-23): new rows with the columns that only the stored row of the key has."""
+    kept = [c for c in old.columns if c not in new.columns]
+    return new.join(old.select(key, *kept), key, "left")

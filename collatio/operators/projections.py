@@ -72,3 +72,20 @@ def set_record(df: DataFrame, code: str, title: str) -> DataFrame:
 def reprojected(structs: Column, **fields: str) -> Column:
     """PRJ-15: a list of structs with other field names: new=old."""
     return F.transform(structs, lambda s: F.struct(*[s[old].alias(new) for new, old in fields.items()]))
+
+
+def set_nested(df: DataFrame, updates: DataFrame, key: str, items: str, pos: str, *fields: str) -> DataFrame:
+    """PRJ-08: fields of single elements of the list `items`: updates is (key, pos from 0, fields), null fields change nothing.
+
+    What is gathered of a key is at most one entry an element of its own list, if updates has one row a (key, pos).
+    """
+    new = updates.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.col(pos).cast("int"), F.struct(*fields)))).alias("_new"))
+
+    def element(x: Column, i: Column) -> Column:
+        found = F.try_element_at(F.col("_new"), i)
+        for f in fields:
+            x = x.withField(f, F.coalesce(found[f], x[f]))
+        return x
+
+    joined = df.join(new, key, "left")
+    return joined.withColumn(items, F.when(F.col("_new").isNull(), F.col(items)).otherwise(F.transform(items, element))).select(*df.columns)

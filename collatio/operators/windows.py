@@ -55,3 +55,9 @@ def between_headers(df: DataFrame, group: str, order: str, opens: Column, closes
     w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     state = F.last(F.when(opens, True).when(closes, False), ignorenulls=True).over(w)
     return df.withColumn("_in", F.coalesce(state, F.lit(False)) & ~opens).where("_in").drop("_in")
+
+
+def until_old(df: DataFrame, group: str, order: str, old: Column) -> DataFrame:
+    """STM-06: rows before the first old one of their group: what a reader that stops there has seen."""
+    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("_old", F.max(F.when(old, 1).otherwise(0)).over(w)).where("_old = 0").drop("_old")
