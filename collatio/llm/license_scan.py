@@ -2,13 +2,15 @@
 
 Templates and texts are sets of hashed five-word shingles. Overlapping windows as long as a template are taken wherever
 a text holds one of its shingles; their MinHash bands are looked up in the templates' band table, and a template that
-is found is verified by the share of its shingles that the window holds. A window that starts within a quarter of the
+is found is verified by the share of its shingles that the window holds. Shingles that stand as far from one another as
+in the template make one notice, so notices that are repeated or lie side by side are told apart and cut where they end. A window that starts within a quarter of the
 template's length of a notice shares at least half of the joint set with it, and with BANDS bands of ROWS values the
 chance to miss it is (1 - 0.5**ROWS)**BANDS < 1e-8.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -72,12 +74,16 @@ class Group:
     ngram: int
     names: list[str] = field(default_factory=list)
     sets: list[np.ndarray] = field(default_factory=list)
+    #: Where a shingle stands in its template, by template.
+    places: list[dict[int, int]] = field(default_factory=list)
     sizes: list[int] = field(default_factory=list)
     bands: dict[int, list[int]] = field(default_factory=dict)
     all: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint64))
 
     def add(self, name: str, hashes: np.ndarray) -> None:
-        items = np.unique(shingles(hashes, self.ngram))
+        inside = shingles(hashes, self.ngram)
+        items = np.unique(inside)
+        self.places.append({h: i for i, h in reversed(list(enumerate(inside.tolist())))})
         for key in _bands(items).tolist():
             self.bands.setdefault(key, []).append(len(self.names))
         self.names.append(name)
@@ -99,23 +105,19 @@ class Scanner:
         self.groups = list(groups.values())
 
     def scan(self, text: bytes) -> list[tuple[str, int, int, float]]:
-        """(license, first word, words, containment) of each notice, the best window for each stretch of overlapping hits."""
+        """(license, first word, words, containment) of each notice; where hits overlap, the one that is more of its template, then the longer one."""
         hashes = _hashes(text, self.known)
         hits: dict[str, list[tuple[int, int, float]]] = {}
         for group in self.groups:
             if len(hashes) >= group.ngram:
                 self._windows(group, shingles(hashes, group.ngram), hits)
-        out = []
-        for name, spans in hits.items():
-            best = None
-            for span in sorted(spans):
-                if best and span[0] < best[0] + best[1]:
-                    best = max(best, span, key=lambda s: (s[2], s[1]))
-                else:
-                    out += [(name, *best)] if best else []
-                    best = span
-            out.append((name, *best))
-        return sorted(out, key=lambda x: (x[1], x[0]))
+        found = {(-share, -n, first, name) for name, spans in hits.items() for first, n, share in spans}
+        taken: list[tuple[int, int, str, float]] = []  # (first word, words, ...), in order and apart
+        for share, n, first, name in sorted(found):
+            at = bisect_left(taken, (first,))
+            if (at == 0 or sum(taken[at - 1][:2]) <= first) and (at == len(taken) or first - n <= taken[at][0]):
+                taken.insert(at, (first, -n, name, -share))
+        return [(name, first, n, share) for first, n, name, share in taken]
 
     @staticmethod
     def _windows(group: Group, items: np.ndarray, hits: dict[str, list[tuple[int, int, float]]]) -> None:
@@ -132,17 +134,28 @@ class Scanner:
                 window = items[start : start + wide + step]
                 inside = np.unique(window)
                 for t in {t for key in _bands(inside).tolist() for t in group.bands.get(key, ())}:
-                    share = shared(group.sets[t], inside) / len(group.sets[t])
-                    if share >= CONTAINED:
-                        own = np.flatnonzero(np.isin(window, group.sets[t])) + start
-                        hits.setdefault(group.names[t], []).append((int(own[0]), int(own[-1] - own[0]) + group.ngram, share))
+                    if shared(group.sets[t], inside) >= CONTAINED * len(group.sets[t]):
+                        at = np.flatnonzero(np.isin(window, group.sets[t]))
+                        places = np.array([group.places[t][h] for h in window[at].tolist()])
+                        for first, n, share in _notices(at + start, places, group.sizes[t], group.ngram, len(group.sets[t])):
+                            hits.setdefault(group.names[t], []).append((first, n, share))
+
+
+def _notices(at: np.ndarray, places: np.ndarray, size: int, ngram: int, n_items: int) -> Iterator[tuple[int, int, float]]:
+    """(first word, words, containment) of each run of a template's shingles that keep their distance up to a quarter of its length."""
+    cuts = np.flatnonzero(np.abs(np.diff(at - places)) > size // 4) + 1
+    for part in np.split(np.arange(len(at)), cuts):
+        share = len(np.unique(places[part])) / n_items
+        if share >= CONTAINED:
+            yield int(at[part[0]]), int(at[part[-1]] - at[part[0]]) + ngram, share
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """A row for each license notice in a text: doc_id, license, first_word, n_words, containment.
 
-    Whole texts are read; null and empty ones hold no notice; repeated rows are scanned each. Words are compared
-    with A-Z lowered and without punctuation around them.
+    Whole texts are read; null and empty ones hold no notice; repeated rows are scanned each, and repeated notices are
+    hits of their own. Words are compared with A-Z lowered and without punctuation around them. Other columns of docs are
+    ignored, whatever their names. An empty table gives no hits.
     """
     chosen = TEMPLATES if templates is None else templates
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

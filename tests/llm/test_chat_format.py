@@ -49,3 +49,12 @@ def test_odd_rows(spark):
     got = {r.conv_id: r for r in chat.digests(chat.format_turn_rows(spark.createDataFrame(rows, schema))).collect()}
     assert got[None].n_turns == 1 and got[1].n_turns == 2 and got[1].loss_chars == 0 and got[2].loss_chars == 0
     assert chat.digests(chat.format_turn_rows(spark.createDataFrame([], schema))).collect() == []
+
+
+def test_roles_may_hold_new_lines_and_columns_may_clash(spark):
+    rows = [(1, 0, "us\ner", "hi"), (1, 1, "&#10;", "a\nb")]
+    blocks = chat.format_turn_rows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert [(t.role, t.text) for t in blocks.select(chat.read_back(F.col("formatted")).alias("t")).first().t] == [("us\ner", "hi"), ("&#10;", "a\nb")]
+    clash = spark.createDataFrame([('{"prompt":"p","completion":"c"}', 1, 2, 3)], "raw string, layout int, print int, _print int").withColumn("record", F.parse_json("raw"))
+    got = chat.canonical_turns(clash, "record")
+    assert got.columns == ["raw", "print", "_print", "layout", "turns"] and got.first()[1:4] == (2, 3, "prompt")

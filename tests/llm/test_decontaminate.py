@@ -78,3 +78,15 @@ def test_spans_are_removed(spark):
 def test_main_path_has_no_python(spark):
     plan = judged(spark, [(1, "a")], [(1, "a")])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("broadcast_rows", [decontaminate.BROADCAST_ROWS, 0])
+def test_clean_documents_keep_all_columns(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast_rows)
+    long = "own " * 50_000
+    rows = [(1, "a b c", 0, 1), (2, None, 0, 2), (3, f"{long} a b c", 0, 3), (None, "a b c", 0, 4), (1, "x", 0, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hits int, id_key int")
+    got = decontaminate.keep_clean(docs, spark.createDataFrame([(1, "A b c")], "item_id long, text string"))
+    assert got.columns == docs.columns and sorted(r.id_key for r in got.collect()) == [2, 3, 5]
+    judged = decontaminate.contamination(docs, spark.createDataFrame([(1, "b")], "item_id long, text string"), keep=("hits", "id_key"))
+    assert judged.columns.count("hits") == 1 and "id_key" in judged.columns

@@ -57,3 +57,14 @@ def test_odd_rows(spark):
 
 def test_empty(spark):
     assert line_dedup.drop_repeated_lines(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_without_a_floor_and_with_clashing_columns(spark, monkeypatch):
+    """Every later copy of a line goes if runs may be of any length; columns of any name are left alone or give way."""
+    rows = [(1, "a\nb\nc"), (2, "b\nd\n\na"), (3, "d\nd\ne")]
+    data = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in rows], DOCS + ", n_lines int, gone int, id_key int, text_hash int")
+    for limit in (line_dedup.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", limit)
+        got = line_dedup.drop_repeated_lines(data, min_words=1)
+        assert got.columns == ["doc_id", "text", "gone", "id_key", "text_hash", "n_lines", "n_removed"]
+        assert {r.doc_id: (r.text, r.n_removed, r.gone, r.id_key, r.text_hash) for r in got.collect()} == {1: ("a\nb\nc", 0, 2, 3, 4), 2: ("d\n", 2, 2, 3, 4), 3: ("e", 2, 2, 3, 4)} == {d: (*x, 2, 3, 4) for d, x in brute(rows, 1).items()}

@@ -1,5 +1,7 @@
 """Language identification, quality scores, page extraction and license scans."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +200,38 @@ def test_licenses_equal_direct_search(spark, docs):
     want = sorted({(r.doc_id, n) for r in docs.collect() for n, ts in notices.items() for t in ts if t.rstrip(".") in r.text})
     got = sorted({(r.doc_id, r.license) for r in license_scan.scan(docs).collect()})
     assert want and got == want
+
+
+def test_repeated_and_adjacent_notices():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    mit, bsd, short = "Released under the MIT License.", license_scan.TEMPLATES["BSD-3-Clause"][0], "All rights reserved."
+    n = len(bsd.split())
+    assert scanner.scan(f"{mit} {mit}".encode()) == [("MIT", 0, 5, 1.0), ("MIT", 5, 5, 1.0)]
+    assert scanner.scan(f"{mit} and so {mit}".encode()) == [("MIT", 0, 5, 1.0), ("MIT", 7, 5, 1.0)]
+    assert scanner.scan(f"a {bsd} {bsd} b {short}".encode()) == [("BSD-3-Clause", 1, n, 1.0), ("BSD-3-Clause", n + 1, n, 1.0), ("All-Rights-Reserved", 2 * n + 2, 3, 1.0)]
+    assert [x[:3] for x in scanner.scan((f"{mit} " * 50).encode())] == [("MIT", 5 * i, 5) for i in range(50)]
+
+
+def test_every_notice_is_found_by_direct_search():
+    """Texts of notices and other words at random places: each notice once, where it stands."""
+    rng, scanner = random.Random(3), license_scan.Scanner(license_scan.TEMPLATES)
+    notices = [(name, t) for name, ts in license_scan.TEMPLATES.items() for t in ts[:1]]
+    for _ in range(60):
+        words, want = [], []
+        for _ in range(rng.randint(0, 12)):
+            if rng.random() < 0.5:
+                name, text = rng.choice(notices)
+                want.append((name, len(words), len(text.split())))
+                words += text.split()
+            else:
+                words += [f"w{rng.randrange(1000)}" for _ in range(rng.randint(1, 30))]
+        assert [x[:3] for x in scanner.scan(" ".join(words).encode())] == want
+
+
+def test_columns_with_the_names_of_new_ones_give_way(spark, docs):
+    model = langid.train(docs, training_texts=300)
+    rows = spark.createDataFrame([(1, "the and of the", 7, "x", 1)], "doc_id long, text string, score int, lang_pred string, Ambiguous int")
+    got = langid.identify(rows, model)
+    assert got.columns == ["doc_id", "text", "lang_pred", "score", "ambiguous"] and got.first().lang_pred == "en"
+    pages = spark.createDataFrame([(1, "u", "<article>a</article>", 5, 6)], "page_id long, url string, html string, n_chars int, text int")
+    assert html_extract.extract(pages).first().text == "a"

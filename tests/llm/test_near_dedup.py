@@ -85,3 +85,13 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(500, i) for i in range(501, 560)] + [(7, 7)]
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 141)}, **{i: 500 for i in range(500, 560)}}
+
+
+@pytest.mark.parametrize("most", [near_dedup.BROADCAST_ROWS, -1])
+def test_one_of_each_group_is_kept_with_its_columns(spark, monkeypatch, most):
+    monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", most)
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text), (2, text + " x"), (3, "own words here"), (3, "own words here"), (4, None), (4, None), (None, text)]
+    data = spark.createDataFrame([(*r, i, i, i) for i, r in enumerate(rows)], DOCS + ", kept int, id_key int, _k0 int")
+    got = near_dedup.keep_one(data)
+    assert got.columns == data.columns and sorted((r.doc_id, r.text) for r in got.collect()) == [(1, text), (3, "own words here"), (4, None), (4, None)]
