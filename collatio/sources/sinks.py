@@ -56,9 +56,9 @@ def json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", True).json(path)
 
 
-def asset_url(bucket: Column, folder: Column, name: Column) -> Column:
-    """SNK-09: where an image ends up; the copy itself happens outside Spark."""
-    return F.concat(F.lit("https://storage.googleapis.com/"), bucket, F.lit("/"), F.when(F.coalesce(folder, F.lit("")) != "", F.concat(folder, F.lit("/"))).otherwise(""), name, F.lit(".webp"))
+def asset_url(base: str, bucket: Column, folder: Column, name: Column) -> Column:
+    """SNK-09: where an image ends up in the store at `base`; the copy itself happens outside Spark."""
+    return F.concat(F.lit(f"{base.rstrip('/')}/"), bucket, F.lit("/"), F.when(F.coalesce(folder, F.lit("")) != "", F.concat(folder, F.lit("/"))).otherwise(""), name, F.lit(".webp"))
 
 
 def unfinished(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -14,9 +14,11 @@ def stream_of(spark: SparkSession, path: str, schema: StructType, files_per_trig
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def deduplicated(stream: DataFrame, key: str) -> DataFrame:
-    """STM-03: the first row of each key over all batches."""
-    return stream.dropDuplicates([key])
+def deduplicated(stream: DataFrame, key: str, ts: str | None = None, late: str = "7 days") -> DataFrame:
+    """STM-03: the first row of each key over all batches; with an event time, keys older than `late` are forgotten, which bounds the state."""
+    if ts is None:
+        return stream.dropDuplicates([key])
+    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
 def windowed_counts(stream: DataFrame, ts: str, key: str, width: str = "1 day", late: str = "2 days") -> DataFrame:

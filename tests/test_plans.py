@@ -102,6 +102,37 @@ def test_best_matches_equal_the_nested_loop(spark):
     assert got == {i: (j, round(r, 3)) for i, (j, r) in want.items()}
 
 
+def test_nested_and_sibling_updates(spark):
+    from collatio.operators import joins, projections, windows
+
+    cards = spark.createDataFrame([("a", [("x", 1), ("y", 2)]), ("b", []), ("c", None)], "id string, items array<struct<n:string,v:int>>")
+    updates = spark.createDataFrame([("a", 1, "Y", None), ("b", 0, "no", 1), ("z", 0, "no", 1)], "id string, pos int, n string, v int")
+    assert {r.id: r["items"] and [tuple(x) for x in r["items"]] for r in projections.set_nested(cards, updates, "id", "items", "pos", "n", "v").collect()} == {"a": [("x", 1), ("Y", 2)], "b": [], "c": None}
+    rows = spark.createDataFrame([(1, "k", ""), (2, "k", None), (3, "k", "own"), (4, "n", ""), (5, None, "")], "id int, k string, v string")
+    stored = spark.createDataFrame([(9, "k", "late"), (8, "k", "first")], "o int, k string, v string")
+    assert {r.id: r.v for r in joins.reused(rows, stored, "k", "o", "v").collect()} == {1: "first", 2: "first", 3: "own", 4: "", 5: ""}
+    changed = spark.createDataFrame([(2, "K", None)], "id int, k string, v string")
+    assert sorted((r.id, r.k, r.v) for r in joins.merged_back(rows.where("id < 4"), changed, "id").collect()) == [(1, "k", ""), (2, "K", None), (3, "k", "own")]
+    seen = spark.createDataFrame([("g", i, v) for i, v in enumerate([3, 2, 0, 5])], "g string, o int, v int")
+    assert sorted(r.o for r in windows.until_old(seen, "g", "o", F.col("v") < 1).collect()) == [0, 1]
+
+
+def test_lists_are_translated_in_batches(spark):
+    class Picky:
+        def translate(self, texts):
+            if "bad" in texts:
+                raise OSError("no")
+            return [t.upper() for t in texts]
+
+    df = spark.createDataFrame([(1, ["a", "", None, "b"], ["n"]), (2, ["a"], []), (3, None, None)], "id int, x array<string>, y array<string>").coalesce(1)
+    got = {r.id: (r.x, r.y, r.xJP) for r in ingest.translated_lists(df, "id", ["x", "y"], Picky(), spark.createDataFrame([("n", "Name")], "jp string, en string")).collect()}
+    assert got == {1: (["A", "", None, "B"], ["Name"], ["a", "", None, "b"]), 2: (["A"], [], ["a"]), 3: (None, None, None)}
+    texts = spark.createDataFrame([(f"t{i}",) for i in range(30)] + [("bad",)], "original string").coalesce(1)
+    written = {r.original: r.written for r in ingest._written(texts, Picky()).collect()}
+    # A batch that fails takes twelve texts with it at most.
+    assert len(written) == 31 and sum(k != v for k, v in written.items()) >= 31 - ingest.BATCH
+
+
 def test_price_history(spark):
     old = spark.createDataFrame([("/a", {"1": (5, 1), "2": (6, 0)}, "A", 1, 2), ("/b", {"1": (7, 1)}, "B", 1, 1)], f"product_link string, price_history map<string,{history.POINT}>, name string, created_at long, last_updated long")
     listing = spark.createDataFrame([("/a", 9, 3, "A2", 0), ("/c", 1, 1, "C", 1), ("/c", 2, 2, "C2", 2)], "product_link string, price int, stock int, name string, ord int")
@@ -139,6 +170,10 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame([(4, 1), (9, 1)], "k int, v int").write.mode("append").parquet(f"{tmp_path}/in")
     twins.to_files(twins.deduplicated(stream(), "k"), f"{tmp_path}/c1", f"{tmp_path}/out")
     assert sorted(r.k for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 1, 2, 3, 4, 9]
+    dated = spark.createDataFrame([(i % 3, f"2024-01-0{1 + i // 3}") for i in range(9)], "k int, day string").select("k", F.col("day").cast("timestamp").alias("ts"))
+    dated.coalesce(1).write.parquet(f"{tmp_path}/dated")
+    twins.to_files(twins.deduplicated(twins.stream_of(spark, f"{tmp_path}/dated", dated.schema), "k", "ts"), f"{tmp_path}/c3", f"{tmp_path}/once")
+    assert sorted(r.k for r in spark.read.parquet(f"{tmp_path}/once").collect()) == [0, 1, 2]
     seen = []
     twins.run_to_end(stream(), f"{tmp_path}/c2", lambda batch, n: seen.append(batch.count()))
     assert sum(seen) == 42 and len(seen) > 1
