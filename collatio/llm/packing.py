@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from collatio.llm.shared import durable, releasing
+from collatio.llm.shared import durable, releasing, worker_state
 
 CAPACITY = 1024
-#: Text that a worker encodes at a time.
-CHUNK_BYTES = 3_000_000
+#: Text that a worker encodes at a time: an Arrow batch of the usual size whole.
+CHUNK_BYTES = 5_000_000
 END_ID = 2
-#: Units whose ids a task remembers; when it has more, it forgets them all and learns anew.
+#: Units whose ids a worker remembers while it packs; when it has more, it forgets them all and learns anew.
 REMEMBERED = 300_000
 #: New units that are encoded in one text.
 TOGETHER = 1024
@@ -148,7 +148,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
     """The pieces, each with the task that made it and its number among that task's pieces of its length."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = Tokens(tokenizer_path), TaskContext.get().partitionId()
+        tokens, part = worker_state(f"tokens of {tokenizer_path}", lambda: Tokens(tokenizer_path)), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
@@ -169,7 +169,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return source.mapInArrow(releasing(pieces), PIECE_SCHEMA)
+    return source.mapInArrow(releasing(pieces, f"tokens of {tokenizer_path}"), PIECE_SCHEMA)
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int, int]], int]:

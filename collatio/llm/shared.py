@@ -5,12 +5,16 @@ from __future__ import annotations
 import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+T = TypeVar("T")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -82,10 +86,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH, BATCH_BYTES)
 
 
-def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """run, after whose last batch the worker gives freed memory back to the system: workers outlive tasks and stages."""
+_KEPT: dict[str, object] = {}
+
+
+def worker_state(name: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task of one operator."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget(but: str | None) -> None:
+    """Drop what tasks of other operators have left in this worker."""
+    for name in [n for n in _KEPT if n != but]:
+        del _KEPT[name]
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run in a worker that holds no state but `keep`, and that gives freed memory back at the end: workers outlive tasks and stages."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(keep)
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
