@@ -34,8 +34,11 @@ REMEMBERED = 300_000
 TOGETHER = 1024
 #: White space as both Python and the tokenizer see it, then the rest up to the next such run. The tokenizer never joins characters over the seam.
 UNIT = re.compile(r"[^\S\x1c-\x1f]*(?:\S|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
-#: Where cutting at single spaces is not the same thing; RE2.
-SPACE_BEFORE_SPACE = "[\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}] "
+_SPACES = "\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
+#: Where cutting at single spaces and in front of lines is not the same thing; RE2.
+SPACE_BEFORE_SPACE = f"[{_SPACES}] | \\n"
+#: The end of a line that does not end in white space; RE2.
+LINE_END = f"([^{_SPACES}])\\n"
 #: Ranks within a length that meet the plan in one chunk of the join.
 RANKS = 4096
 #: Rows of the plan, cut into chunks, up to which it is broadcast (some 50 bytes each); a longer one is joined by a shuffle.
@@ -47,9 +50,10 @@ PLAN_SCHEMA = "length long, first long, n long, each long, sequence long, at lon
 class Tokens:
     """Token ids of texts by a `tokenizers` file, remembering the ids of units between blanks.
 
-    A text is cut in front of each blank, or of each run of white space where two kinds of it meet. A byte-level BPE of
-    the GPT-2 kind splits there in any case, so the ids of a text are those of its units one after the other; a test
-    compares both. Strings of special tokens are what the tokenizer takes them for by default.
+    A text is cut in front of each blank and of each new line behind a line's last word, or of each run of white space
+    where two kinds of it meet. A byte-level BPE of the GPT-2 kind splits there in any case, so the ids of a text are
+    those of its units one after the other; a test compares both. Units that open with a new line have no blank before
+    it. Strings of special tokens are what the tokenizer takes them for by default.
     """
 
     def __init__(self, path: str):
@@ -58,10 +62,10 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Byte-level BPE writes a blank as U+0120: the tokens that a unit behind a blank can open with.
+        # Byte-level BPE writes a blank as U+0120 and a new line as U+010A: the tokens that a unit can open with.
         self.opens = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
-            self.opens[i] = token.startswith("\u0120")
+            self.opens[i] = token.startswith(("\u0120", "\u010a"))
         self.known: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.starts, self.counts = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
@@ -84,13 +88,15 @@ class Tokens:
         self.store(n, counts, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum())))
 
     def learn(self, units: list[str]) -> None:
-        """Remember the ids of units as they are behind a blank."""
+        """Remember the ids of units as they are behind a blank, or with the new line that they open with."""
         inner, rest = [], []
         for unit in units:
-            (inner if unit and unit == unit.strip() else rest).append(unit)
+            word = unit[1:] if unit[:1] == "\n" else unit
+            (inner if word and word == word.strip() and "\n" not in word else rest).append(unit)
+        whole = lambda unit: unit if unit[:1] == "\n" else " " + unit
         if inner:
-            # Many in one text; a token that opens with a blank opens the next unit.
-            texts = [" " + " ".join(inner[i : i + TOGETHER]) for i in range(0, len(inner), TOGETHER)]
+            # Many in one text; a token that opens with a blank or a new line opens the next unit.
+            texts = ["".join(map(whole, inner[i : i + TOGETHER])) for i in range(0, len(inner), TOGETHER)]
             ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
             at = np.flatnonzero(self.opens[ids])
             if len(at) == len(inner) and at[0] == 0:
@@ -99,7 +105,7 @@ class Tokens:
             else:
                 rest = units
         if rest:
-            self.one_by_one(len(self.known), [" " + u for u in rest])
+            self.one_by_one(len(self.known), list(map(whole, rest)))
             self.known.update(zip(rest, range(len(self.known), len(self.known) + len(rest)), strict=True))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
@@ -109,7 +115,7 @@ class Tokens:
         if len(self.known) > REMEMBERED:
             self.known, self.used = {}, 0
         rare = np.flatnonzero(pc.match_substring_regex(texts, SPACE_BEFORE_SPACE).to_numpy(zero_copy_only=False))
-        cut = pc.split_pattern(texts, " ")
+        cut = pc.split_pattern(pc.replace_substring_regex(texts, LINE_END, "\\1 \n"), " ")
         offsets = cut.offsets.to_numpy().astype(np.int64)
         values = cut.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets -= offsets[0]

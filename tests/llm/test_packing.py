@@ -58,6 +58,7 @@ def test_ids_are_those_of_the_tokenizer():
     rng, letters = random.Random(1), "a bé\n\t  .,'s 　\x1c\x1f1² \x85<|endoftext|>\rßΩ漢"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + ["", " ", "  a", "a  ", "\n", "don't  stop, won't"]
     texts += ["<|endoftext|>", "a <|endoftext|> b", "a\n<|endoftext|>\n b<|endoftext|>c  <|endoftext|>", "x\u3000y z\x1cw"]
+    texts += ["a\n\nb\n\n\nc\n", "a \nb", "a\xa0\nb\n", "\n\na\n", "a.\nb.\nc d\n\n", "a\tb\nc\xa0\nd", "x\r\ny\r\n", "a\n b", "a\n\n b c\nd e"]
     tokens = packing.Tokens(PATH)
     for _ in range(2):  # the second time from memory
         got = tokens.encode(pa.array(texts, pa.string()))
