@@ -52,27 +52,27 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="checkpoints-")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage: the rows go to the folder that the whole cluster shares."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return _tidy(df).checkpoint()
-
-
 #: Spark's setting by which a query's shuffle files go when it ends instead of when the driver next collects garbage.
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The rule by which a query ends as soon as one side of a join proves empty, while stages of the other side still run.
+#: With shuffle files deleted at the end those stages would wait minutes for files that are gone, each on a core.
+EXCLUDED, EARLY_END = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
 
 
-def _tidy(df: DataFrame) -> DataFrame:
-    """df, run so that its shuffle files are deleted once its rows are written. The setting counts when a DataFrame is made."""
-    conf = df.sparkSession.conf
-    before = conf.get(TIDY)
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage: the rows go to the folder that the whole cluster shares, and the shuffle files behind them go."""
+    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    before = {name: conf.get(name, None) for name in (TIDY, EXCLUDED)}
     conf.set(TIDY, "true")
+    conf.set(EXCLUDED, ",".join(filter(None, [before[EXCLUDED], EARLY_END])))
     try:
-        return df.select("*")
+        # The first setting counts when a DataFrame is made, the second while it runs.
+        return df.select("*").checkpoint()
     finally:
-        conf.set(TIDY, before)
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
 
 
 #: Bytes of an Arrow batch between the JVM and a Python worker. Texts are long, and both sides hold a batch and its successor.
