@@ -9,18 +9,20 @@ start or end at its lines, so the maximal repeated runs are the unions of those,
 rounds are needed, whatever the length of the longest repeat. A run of l lines is named by two overlapping ranks of
 depth 2**floor(log2(l)): equal names mean a common prefix of l lines. Of each name the first occurrence stays,
 by document id and then place; the lines of all others are deleted.
+
+A round moves a suffix twice: to its document, where ranks at two places meet, and to its class, which counts and ranks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collatio.llm.shared import durable, releasing, unused
@@ -29,13 +31,26 @@ from collatio.llm.shared import durable, releasing, unused
 MIN_WORDS = 50
 #: Deletions up to which they are broadcast to the texts; more of them meet the texts in a shuffle.
 BROADCAST_BYTES = 16_000_000
-PLACE = ["id_key", "text_hash", "i"]
-LINES = "id_key long, text_hash long, i int, line int, h1 long, h2 long, ahead int, back int"
+DOCUMENT = ["id_key", "text_hash"]
+PLACE = [*DOCUMENT, "i"]
+#: Numbers of lines in a document are below this, so that document * WIDE + line orders all lines of a batch.
+WIDE = 2**33
+
+
+def _batch(names: str, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Columns under the names and types of a schema string."""
+    kinds = {"long": pa.int64(), "int": pa.int32()}
+    fields = [x.split() for x in names.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+LINES = "id_key long, text_hash long, i int, line int, h1 long, h2 long, least int, most int"
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """A row a non-blank line: its number among them (i) and among all (line), two hashes of it, and how many lines the
-    shortest run of min_words words has that starts (ahead) and that ends (back) here, 0 if the text has too few."""
+    """A row a non-blank line: its number among them (i) and among all (line), two hashes of it, and the lengths in lines
+    of the runs from here that are looked for, least to most (0 if fewer than min_words words follow): the shortest run of
+    min_words words that starts here, and those from here that are the shortest that end where they end."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,84 +62,159 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
                 if not len(at):
                     continue
                 ends = np.cumsum(counts[at])
-                starts = ends - counts[at]
-                n = len(at)
-                # The line in which the min_words-th word from the start of line i lies; the same backwards.
-                last = np.searchsorted(ends, starts + min_words)
-                first = np.searchsorted(starts, ends - min_words, side="right") - 1
-                i = np.arange(n)
+                n, i = len(at), np.arange(len(at))
+                # The line in which the min_words-th word from the start of line i lies.
+                last = np.searchsorted(ends, ends - counts[at] + min_words)
+                least = np.where(last < n, last - i + 1, 0)
+                # A run from i is the shortest that ends at its end if the next line's shortest run ends later or nowhere.
+                after = np.append(least[1:], 0)
+                most = np.where(least > 0, np.maximum(least, np.where(after > 0, after, n - i)), 0)
                 seen = [lines[k] for k in at]
                 values = (
                     np.full(n, id_key), np.full(n, text_hash), i, at,
                     np.array([xxhash.xxh64_intdigest(x) for x in seen], dtype=np.uint64).view(np.int64),
                     np.array([xxhash.xxh64_intdigest(x, 1) for x in seen], dtype=np.uint64).view(np.int64),
-                    np.where(last < n, last - i + 1, 0), np.where(ends >= min_words, i - first + 1, 0),
+                    least, most,
                 )
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
             if columns[0]:
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-                names = [x.split()[0] for x in LINES.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                yield _batch(LINES, [np.concatenate(c) for c in columns])
 
     return docs.mapInArrow(releasing(cut), LINES)
 
 
-def _ranked(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """counts (keys, n) of the classes with n > 1 -> (keys, rank): how many suffixes of these classes come before."""
-    ordered = durable(counts.where("n > 1").repartitionByRange(*keys).sortWithinPartitions(*keys))
+def _by_document(rows: DataFrame, order: list[Column], run: Callable[[np.ndarray, dict[str, np.ndarray]], pa.RecordBatch], schema: str) -> DataFrame:
+    """run over batches that hold whole documents, in order within each; it gets each row's document number and the columns.
+
+    A document's rows were one text, so they fit in a task; rows that repeat id and text must be one document's by now.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if waiting:
+                table = pa.Table.from_batches(waiting)
+                columns = {name: table[name].to_numpy() for name in table.column_names}
+                a, b = columns["id_key"], columns["text_hash"]
+                yield run(np.cumsum(np.append(False, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))), columns)
+                waiting.clear()
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            a, b = batch.column("id_key").to_numpy(), batch.column("text_hash").to_numpy()
+            # The last document of a batch may go on in the next one.
+            start = int(np.flatnonzero((a != a[-1]) | (b != b[-1])).max(initial=-1)) + 1
+            if start:
+                waiting.append(batch.slice(0, start))
+                yield from done()
+            elif waiting and (waiting[-1].column("id_key")[-1].as_py(), waiting[-1].column("text_hash")[-1].as_py()) != (int(a[0]), int(b[0])):
+                yield from done()
+            waiting.append(batch.slice(start))
+        yield from done()
+
+    return rows.repartition(*DOCUMENT).sortWithinPartitions(*DOCUMENT, *order).mapInArrow(releasing(whole), schema)
+
+
+NAMED = "id_key long, text_hash long, i int, lines int, r1 long, r2 long, least int, most int"
+
+
+def _named(ranks: DataFrame, k: int, last: bool) -> DataFrame:
+    """ranks of depth k (PLACE, rank, least, most) -> NAMED: runs of k to 2k - 1 lines by the ranks at their start and at k lines
+    before their end, and, unless this is the last depth, the suffixes of the next one as runs of 2k lines."""
+
+    def name(document: np.ndarray, rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        key = document * WIDE + rows["i"]
+        least, most = np.maximum(rows["least"], k), np.minimum(rows["most"], 2 * k - 1)
+        most = np.where(rows["least"] > 0, most, 0)
+        count = np.maximum(most - least + 1, 0).astype(np.int64)
+        start = np.repeat(np.arange(len(key)), count)
+        lines = least[start] + np.arange(len(start)) - np.repeat(np.cumsum(count) - count, count)
+        if not last:
+            start, lines = np.concatenate([start, np.arange(len(key))]), np.concatenate([lines, np.full(len(key), 2 * k)])
+        wanted = key[start] + lines - k
+        end = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+        found = key[end] == wanted
+        start, lines, end = start[found], lines[found], end[found]
+        rank = rows["rank"]
+        return _batch(NAMED, [*(rows[c][start] for c in PLACE), lines, rank[start], rank[end], rows["least"][start], rows["most"][start]])
+
+    return _by_document(ranks, [F.col("i")], name, NAMED)
+
+
+def _ranked(classes: DataFrame, keys: list[str]) -> DataFrame | None:
+    """classes (keys, others, n) with n > 1, n replaced by rank: how many suffixes of these classes come before in the order of keys.
+
+    None if no class has more than one suffix.
+    """
+    ordered = durable(classes.where("n > 1").repartitionByRange(*keys).sortWithinPartitions(*keys))
     # A number for each partition, however many rows there are.
     totals = {r[0]: r[1] for r in ordered.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("n")).collect()}
+    if not totals:
+        return None
     before = dict(zip(sorted(totals), accumulate([0, *(totals[p] for p in sorted(totals))]), strict=False))
+    names = [c for c in ordered.columns if c != "n"]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = before.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
-            n = batch.column(len(keys)).to_numpy()
+            n = batch.column("n").to_numpy()
             ranks = at + np.cumsum(n) - n
             at += int(n.sum())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ranks)], names=[*keys, "rank"])
-
-    return ordered.mapInArrow(number, ", ".join(f"{k} long" for k in keys) + ", rank long")
-
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(ranks)], names=[*names, "rank"])
 
-def _at(ranks: DataFrame, name: str) -> DataFrame:
-    return ranks.select(*PLACE, F.col("rank").alias(name))
+    kinds = dict(ordered.dtypes)
+    return ordered.mapInArrow(number, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", rank long")
 
 
 def repeated_runs(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """docs (id_key, text_hash, text) -> the repeated lines, and the runs (id_key, text_hash, i, lines) that are not first."""
+    """docs (id_key, text_hash, text) -> the repeated lines (PLACE, line), and the runs (PLACE, lines) that are not first."""
     lines = durable(_lines(docs, min_words))
     keys = ["h1", "h2"]
-    names = _ranked(lines.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+    none = lines.select(*PLACE, F.lit(0).alias("lines")).where(F.lit(False))
+    ranked = _ranked(lines.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+    if ranked is None:
+        return lines.select(*PLACE, "line").where(F.lit(False)), none
     # Rows that repeat id and text are one document here.
-    active = durable(lines.join(names, keys).drop(*keys).distinct())
-    ahead = active.where("ahead > 0").select(*PLACE, F.col("ahead").alias("lines"))
-    back = active.where("back > 0").select("id_key", "text_hash", (F.col("i") - F.col("back") + 1).alias("i"), F.col("back").alias("lines"))
-    runs = durable(ahead.unionByName(back).distinct())
-    # At most log2(min_words) + 1 numbers: the depths that name runs of this input.
-    depths = {r[0] for r in runs.select(F.floor(F.log2("lines")).cast("int").alias("depth")).distinct().collect()}
-    ranks, later = active.select(*PLACE, "rank"), None
-    for depth in range(max(depths, default=0) + 1):
-        k = 2**depth
-        if depth in depths:
-            fitting = runs.where((F.col("lines") >= k) & (F.col("lines") < 2 * k))
-            ends = _at(ranks, "r2").withColumnRenamed("i", "end")
-            named = fitting.join(_at(ranks, "r1"), PLACE).withColumn("end", F.col("i") + F.col("lines") - k).join(ends, ["id_key", "text_hash", "end"])
-            named = named.select(*PLACE, "lines", "r1", "r2")
-            # Written on its own, so that both sides of the join come from exchanges, which Spark can split where a run is common.
-            first = durable(named.groupBy("lines", "r1", "r2").agg(F.min(F.struct(*PLACE)).alias("first")))
-            copies = durable(named.join(first, ["lines", "r1", "r2"]).where(F.struct(*PLACE) != F.col("first")).select(*PLACE, "lines"))
-            later = copies if later is None else later.unionByName(copies)
-        if depth < max(depths, default=0):
-            onward = _at(ranks, "r2").withColumn("i", F.col("i") - k)
-            pairs = durable(_at(ranks, "r1").join(onward, PLACE))
-            keys = ["r1", "r2"]
-            doubled = _ranked(pairs.groupBy(*keys).agg(F.count("*").alias("n")), keys)
-            ranks = durable(pairs.join(doubled, keys).select(*PLACE, "rank"))
-    if later is None:
-        later = runs.where(F.lit(False))
-    return active, later
+    active = durable(lines.join(ranked, keys).drop(*keys).distinct())
+    longest = active.agg(F.max("most")).first()[0]
+    ranks, later, k = active.drop("line"), none, 1
+    keys = ["lines", "r1", "r2"]
+    while k <= longest:
+        named = durable(_named(ranks, k, 2 * k > longest))
+        # The suffixes of the next depth need a count only, runs also their first place.
+        place = F.min(F.when(F.col("lines") < 2 * k, F.struct(*PLACE))).alias("first")
+        classes = named.groupBy(*keys).agg(place, F.count("*").alias("n"))
+        classes = classes.select(*keys, *(F.col(f"first.{c}").alias(f"first_{c}") for c in PLACE), "n")
+        # Written on its own, so that both sides of the join come from exchanges, which Spark can split where a class is common.
+        ranked = _ranked(classes, keys)
+        if ranked is None:
+            break
+        placed = durable(named.join(ranked, keys).drop("r1", "r2"))
+        other = F.lit(False)
+        for c in PLACE:
+            other = other | (F.col(c) != F.col(f"first_{c}"))
+        later = later.unionByName(placed.where((F.col("lines") < 2 * k) & other).select(*PLACE, "lines"))
+        ranks = placed.where(F.col("lines") == 2 * k).select(*PLACE, "rank", "least", "most")
+        k *= 2
+    return active.select(*PLACE, "line"), later
+
+
+COVERED = "id_key long, text_hash long, line int"
+
+
+def _covered(active: DataFrame, later: DataFrame) -> DataFrame:
+    """COVERED: the repeated lines that lie in a run which is not first, each once, however many such runs it lies in."""
+
+    def cover(document: np.ndarray, rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        key = document * WIDE + rows["i"]
+        gone = (rows["line"] >= 0) & (np.maximum.accumulate(key + rows["lines"]) > key)
+        return _batch(COVERED, [rows[c][gone] for c in (*DOCUMENT, "line")])
+
+    both = active.withColumn("lines", F.lit(0)).unionByName(later.withColumn("line", F.lit(-1)))
+    return _by_document(both, [F.col("i"), F.col("lines").desc()], cover, COVERED)
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -141,9 +231,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**62)))
     source = docs.select(id_key.alias("id_key"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     active, later = repeated_runs(source, min_words)
-    covered = later.select("id_key", "text_hash", F.explode(F.sequence("i", F.col("i") + F.col("lines") - 1)).alias("i")).distinct()
     k0, k1, gone = unused(docs, "id_key", "text_hash", "gone")
-    found = covered.join(active.select(*PLACE, "line"), PLACE).groupBy("id_key", "text_hash").agg(F.collect_list("line").alias(gone))
+    found = _covered(active, later).groupBy(*DOCUMENT).agg(F.collect_list("line").alias(gone))
     found = durable(found.withColumnsRenamed({"id_key": k0, "text_hash": k1}))
     size = found.agg(F.count("*"), F.sum(F.size(gone))).first()
     # Some 40 bytes a document and 4 a line: where that is little, no text has to move.
