@@ -241,6 +241,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = F.split(F.col(text_col), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))
     cleaned = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n"))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts)).cast("long")
+    breaks = F.octet_length(text_col) - F.octet_length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(breaks + 1).cast("long")
     counted = joined.withColumns({"n_lines": n_lines, "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long"), text_col: cleaned})
     return counted.select(*docs.columns, "n_lines", "n_removed")
