@@ -22,8 +22,8 @@ from collatio.llm.shared import durable, unused
 #: A word, before A-Z is lowered: the class also admits A-Z, which lowering maps into it.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
-#: Rows of benchmark word runs up to which they are broadcast; a larger benchmark is joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of benchmark word runs up to which they are broadcast; a larger benchmark is joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 200_000_000
 OUTPUT = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hits")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -67,7 +67,11 @@ def _agree(a: Column, b: Column) -> Column:
 
 
 def item_runs(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> tuple[DataFrame, list[int]]:
-    """Every run of k words of every distinct item, with its neighbours, and the block sizes in use (at most (window + 1) // 2)."""
+    """Every run of k words of the items, with its neighbours, and the block sizes in use (at most (window + 1) // 2).
+
+    Runs that have their neighbours in common too are one row with the ids of all their items, so a passage that many
+    items hold is looked up as one.
+    """
     items = (
         benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), _lowered(words_of(F.col(text_col))).alias("w"))
         .where(F.size("w") > 0)
@@ -83,9 +87,19 @@ def item_runs(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "te
         at = items.where(F.col("k") == k).select("w", "items", "span", F.explode(F.sequence(F.lit(0), F.size("w") - k)).alias("at"))
         part = at.select(F.lit(k).alias("k"), _gram(F.col("w"), F.col("at"), k).alias("h"), "span", "items", *[c.alias(f"i_{n}") for c, n in zip(_around(F.col("w"), F.col("at"), k, reach), ("block", "before", "after"), strict=True)])
         runs = part if runs is None else runs.unionByName(part)
+    if runs is not None:
+        same = [c for c in runs.columns if c != "items"]
+        runs = runs.groupBy(*same).agg(F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     return runs, sizes
 
 
+def _is_small(runs: DataFrame) -> bool:
+    """Whether runs are few and short enough to be broadcast; bytes count strings with 16 each for their places in arrays."""
+    held = sum((F.octet_length(F.array_join(c, "")) + 16 * F.size(c) for c in ("items", "i_block", "i_before", "i_after")), F.lit(64))
+    rows, size = runs.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits (merged word spans), and the columns of `keep`.
 
@@ -97,7 +111,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keep = tuple(c for c in keep if c.lower() not in OUTPUT)
     reach = (window + 1) // 2
     runs, sizes = item_runs(benchmark, window=window)
-    small = runs is None or runs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = runs is None or _is_small(runs)
     words = F.col("w")
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"keep_{c}") for c in keep], words_of(F.col(text_col)).alias("w"))
     # A header, so that a document without hits has a row too. What is kept of a document goes with it alone.
