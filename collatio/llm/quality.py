@@ -21,30 +21,34 @@ TREES, DEPTH, LEAF, CUTS = 40, 3, 15, 24
 PASS = 0.7
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text; null counts as empty, and shares of nothing are 0."""
-    t = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(t, r"\s+"), lambda w: w != "")
-    n_chars, n_words = F.length(t), F.size(words)
-    lines = F.split(t, "\n")
-
-    def per(part: Column, whole: Column) -> Column:
-        return F.when(whole > 0, part / whole).otherwise(0.0).cast("double")
-
-    upper, marks, digits = F.regexp_count(t, F.lit(r"\p{Lu}")), F.regexp_count(t, F.lit(r"[^\p{L}\p{N}\s.,;:'\"-]")), F.regexp_count(t, F.lit(r"[0-9]"))
-    return {
-        "log_words": F.log1p(n_words),
-        "word_length": per(n_chars, n_words),
-        "upper": per(upper, n_chars),
-        "marks": per(marks, n_chars),
-        "marks_by_word": per(marks, n_words),
-        "digits": per(digits, n_chars),
-        "stops": per(F.regexp_count(t, F.lit(r"[.!?](\s|$)")), n_words),
-        "commas": per(F.regexp_count(t, F.lit(",")), n_words),
-        "other_words": per(F.size(F.array_distinct(words)), n_words),
-        "other_lines": per(F.size(F.array_distinct(lines)), F.size(lines)),
-        "words_by_line": per(n_words, F.size(lines)),
-    }
+STATISTICS = ("log_words", "word_length", "upper", "marks", "marks_by_word", "digits", "stops", "commas", "other_words", "other_lines", "words_by_line")
+
+
+def statistics(texts: DataFrame) -> DataFrame:
+    """texts (text, others) -> others and STATISTICS of the whole text; null counts as empty, and shares of nothing are 0.
+
+    Words, lines and counts are columns of projections of their own, so that each is worked out once a text.
+    """
+    others = [c for c in texts.columns if c != "text"]
+    whole = texts.select(*others, F.coalesce("text", F.lit("")).alias("t"))
+    split = whole.select(*others, "t", F.filter(F.split("t", r"\s+"), lambda w: w != "").alias("words"), F.split("t", "\n").alias("lines"))
+    t, pattern = F.col("t"), lambda x: F.regexp_count("t", F.lit(x))
+    n = {
+        "chars": F.length(t), "words": F.size("words"), "lines": F.size("lines"),
+        "upper": pattern(r"\p{Lu}"), "marks": pattern(r"[^\p{L}\p{N}\s.,;:'\"-]"), "digits": pattern(r"[0-9]"),
+        "stops": pattern(r"[.!?](\s|$)"), "commas": F.octet_length(t) - F.octet_length(F.replace(t, F.lit(","), F.lit(""))),
+        "other_words": F.size(F.array_distinct("words")), "other_lines": F.size(F.array_distinct("lines")),
+    }
+    counts = split.select(*others, F.struct(*[c.alias(name) for name, c in n.items()]).alias("n"))
+
+    def per(part: str, all_of: str) -> Column:
+        return F.when(F.col(f"n.{all_of}") > 0, F.col(f"n.{part}") / F.col(f"n.{all_of}")).otherwise(0.0).cast("double")
+
+    found = (
+        F.log1p("n.words"), per("chars", "words"), per("upper", "chars"), per("marks", "chars"), per("marks", "words"), per("digits", "chars"),
+        per("stops", "words"), per("commas", "words"), per("other_words", "words"), per("other_lines", "lines"), per("words", "lines"),
+    )
+    return counts.select(*others, *[c.alias(name) for name, c in zip(STATISTICS, found, strict=True)])
 
 
 @dataclass
@@ -126,8 +130,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # At most 2 * training_texts labels: a bound that doesn't grow with the input. One text an id, by a minimum that merges.
     ids = chosen.select("id").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(ids), "id")
-    stats = statistics(F.col("text"))
-    measured = texts.select("id", F.struct(F.xxhash64("text").alias("hash"), *[c.alias(n) for n, c in stats.items()]).alias("found"))
+    stats = STATISTICS
+    measured = statistics(texts.withColumn("hash", F.xxhash64("text"))).select("id", F.struct("hash", *stats).alias("found"))
     once = measured.groupBy("id").agg(F.min("found").alias("found"))
     table = once.join(F.broadcast(chosen), "id").select("id", "y", *[f"found.{n}" for n in stats]).toPandas().sort_values(["id", "y"])
     return fit(list(stats), table[list(stats)].to_numpy(dtype=float), table["y"].to_numpy(dtype=float))
@@ -135,7 +139,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", at_least: float = PASS) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score (0 to 1), predicted (1 if score >= at_least). Reads whole texts; null is empty."""
-    stats = statistics(F.col("_text"))
-    measured = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).select("_id", *[c.alias(n) for n, c in stats.items()])
-    scored = measured.select("_id", model.score({n: F.col(n) for n in stats}).alias("score"))
+    measured = statistics(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")))
+    scored = measured.select("_id", model.score({n: F.col(n) for n in STATISTICS}).alias("score"))
     return scored.select(F.col("_id").alias("doc_id"), held_out(F.col("_id")).alias("held_out"), "score", (F.col("score") >= at_least).cast("int").alias("predicted"))
