@@ -90,3 +90,15 @@ def test_clean_documents_keep_all_columns(spark, monkeypatch, broadcast_rows):
     assert got.columns == docs.columns and sorted(r.id_key for r in got.collect()) == [2, 3, 5]
     judged = decontaminate.contamination(docs, spark.createDataFrame([(1, "b")], "item_id long, text string"), keep=("hits", "id_key"))
     assert judged.columns.count("hits") == 1 and "id_key" in judged.columns
+
+
+@pytest.mark.parametrize("bytes_", [decontaminate.BROADCAST_BYTES, 0])
+def test_a_passage_of_many_items_is_one_row(spark, monkeypatch, bytes_):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", bytes_)
+    passage = " ".join(f"s{i}" for i in range(40))
+    items = [(i, f"start{i} {passage} end{i}") for i in range(50)]
+    docs = [(1, f"before {passage} after"), (2, "nothing of it"), (3, f"start7 {passage} end7")]
+    runs, sizes = decontaminate.item_runs(spark.createDataFrame(items, "item_id long, text string"))
+    inner = runs.where("array_position(i_block, 's17') = 4").collect()
+    assert sizes == [7] and len(inner) == 1 and len(inner[0]["items"]) == 50
+    assert as_dict(judged(spark, docs, items)) == brute(docs, items)

@@ -68,3 +68,21 @@ def test_without_a_floor_and_with_clashing_columns(spark, monkeypatch):
         got = line_dedup.drop_repeated_lines(data, min_words=1)
         assert got.columns == ["doc_id", "text", "gone", "id_key", "text_hash", "n_lines", "n_removed"]
         assert {r.doc_id: (r.text, r.n_removed, r.gone, r.id_key, r.text_hash) for r in got.collect()} == {1: ("a\nb\nc", 0, 2, 3, 4), 2: ("d\n", 2, 2, 3, 4), 3: ("e", 2, 2, 3, 4)} == {d: (*x, 2, 3, 4) for d, x in brute(rows, 1).items()}
+
+
+def test_documents_longer_than_a_batch(spark):
+    """Rows of a document that come in several batches are put together, and a batch may end where a document does."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rng = random.Random(5)
+    passage = [f"p{i} said" for i in range(25)]
+    rows = []
+    for d in range(40):
+        lo, hi = sorted((rng.randint(0, 25), rng.randint(0, 25)))
+        rows.append((d, "\n".join([f"own {d}", *passage[lo:hi], *(["again and again"] * rng.randint(0, 9))])))
+    for size in (1, 4, 7):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, DOCS).repartition(2), min_words=6).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        assert {r.doc_id: (r.text, r.n_removed) for r in got} == brute(rows, 6)
