@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from collatio.operators import aggregates, filters, joins, projections, windows
+from collatio.operators import aggregates, filters, joins, projections, ranges, windows
 from collatio.sources import sinks
 
 
@@ -70,11 +70,17 @@ def test_aggregates(table):
     assert values(aggregates.unique_values(table([([1, 2],), ([2],), (None,)], "v array<int>"), "v")) == [(1,), (2,)]
 
 
-def test_windows(table):
+def test_windows(table, monkeypatch):
     df = table([(i, "x" if i % 2 else "y") for i in range(1000)], "o long, k string")
     assert values(windows.row_numbers(df, "o").where("ordinal <> o")) == []
     assert values(windows.batches(df, "o", 12).where("batch <> floor(o / 12)")) == []
     assert values(windows.row_numbers(df.limit(0), "o")) == []
+    assert windows.row_numbers(df, "o").columns == ["o", "k", "ordinal"]
+    # Ranges of few rows each, over places that crowd together.
+    monkeypatch.setattr(ranges, "BUCKETS", 4)
+    monkeypatch.setattr(ranges, "ROWS", 7)
+    crowded = df.selectExpr("case when o < 900 then o else o * 1000000 end as o", "o as place")
+    assert values(windows.row_numbers(crowded, "o").where("ordinal <> place")) == []
     uids = windows.occurrence_ids(table([(3, "a"), (1, "a"), (2, "b"), (9, "a")], "o int, k string"), "k", "o")
     assert values(uids.select("o", "uid")) == [(1, "a"), (2, "b"), (3, "a_ALT"), (9, "a_ALT2")]
     lines = table([("d", 0, "intro"), ("d", 1, "1. one"), ("d", 2, "more"), ("d", 3, "2. two"), ("e", 0, "none")], "g string, o int, t string")
