@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collatio.llm import chat_format, decontaminate, exact_dedup, html_extract, langid, license_scan, line_dedup, near_dedup, packing, quality
+from collatio.llm import chat_format, decontaminate, exact_dedup, fill_middle, filter_audit, html_extract, langid, license_scan, line_dedup, near_dedup, packing, quality, sentence_pieces
 from collatio.llm.shared import held_out, load
 
 
@@ -61,8 +61,31 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(load(spark, sf_dir, "documents"))
+    hashes = F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model_path()
+    read = sentence_pieces.decode(sentence_pieces.encode(load(spark, sf_dir, "documents"), model), model)
+    ids = F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256)
+    return read.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_html_extract, op2_exact_dedup, op3_quality, op4_near_dedup, op5_license_scan, op6_language_id, op7_decontaminate, op8_chat_format, op9_pack, op10_line_dedup)
+    found = (op1_html_extract, op2_exact_dedup, op3_quality, op4_near_dedup, op5_license_scan, op6_language_id, op7_decontaminate, op8_chat_format, op9_pack, op10_line_dedup, op11_filter_audit, op12_fill_middle, op13_sentencepiece)
     return {f.__name__: f for f in found}
 
 
@@ -99,5 +122,37 @@ FROM w GROUP BY conv_id
 """
 
 
+OP11_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+lab AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+marks AS (SELECT part, coalesce(good, false) AS good, coalesce(lab.toxic, false) AS toxic,
+                 map {'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w), 'C': 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t),
+                      'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS fails
+          FROM docs LEFT JOIN lab USING (doc_id)),
+bins AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM marks GROUP BY part, fails),
+l(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS o FROM l a, l b, l c, l d, l e WHERE a.f NOT IN (b.f, c.f, d.f, e.f) AND b.f NOT IN (c.f, d.f, e.f) AND c.f NOT IN (d.f, e.f) AND d.f <> e.f),
+steps AS (SELECT o, s, o[s] AS f, list_transform(range(1, s), lambda i: o[i]) AS earlier, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: x <> o[s]) AS others FROM orders, range(1, 6) AS r(s)),
+met AS (SELECT part, o, s, f, n, good, toxic, fails[f] AS own, len(list_filter(earlier, lambda x: fails[x])) > 0 AS before, len(list_filter(others, lambda x: fails[x])) > 0 AS other FROM bins, steps),
+found AS (SELECT part, o AS filter_order, s AS step, any_value(f) AS f, sum(CASE WHEN NOT own AND NOT before THEN n ELSE 0 END) AS kept, sum(CASE WHEN own AND NOT before THEN n ELSE 0 END) AS removed,
+                 sum(CASE WHEN own AND before THEN n ELSE 0 END) AS redundant, sum(CASE WHEN own AND NOT other THEN n ELSE 0 END) AS unique_fails,
+                 sum(CASE WHEN own AND NOT before THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN own AND NOT before THEN toxic ELSE 0 END) AS toxic_lost FROM met GROUP BY part, o, s)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM found
+"""
+
+OP12_SQL = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+nums AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM docs),
+cut AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b,
+               CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM nums),
+parts AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1) AS s FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op7_decontaminate": OP7_SQL, "op8_chat_format": OP8_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op7_decontaminate": OP7_SQL, "op8_chat_format": OP8_SQL, "op11_filter_audit": OP11_SQL, "op12_fill_middle": OP12_SQL}
