@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -22,8 +23,12 @@ from pyspark.sql import functions as F
 from collatio.llm.shared import free_of, releasing, worker_state
 
 BLANK = "▁"
+#: Signs that close a word.
+POINTS = ",.;:!?"
+NEVER = float("-inf")
 #: Units and pairs that a worker remembers; when it has more it forgets them and learns anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+REMEMBERED_PAIRS = 1_000_000
 #: Characters of units up to which they are remembered: longer ones hardly come again.
 LONG_UNIT = 64
 #: Documents' ids are put together some at a time, so that those of a whole Arrow batch are never lists at once.
@@ -49,17 +54,21 @@ class Pieces:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[piece] = i
         self.names, self.scores = {i: p for p, i in self.ids.items()}, {p: model.get_score(i) for p, i in self.ids.items()}
-        self.length = {i: len(p) for p, i in self.ids.items()}
         if len(self.bytes) != 256 or any(BLANK in p.lstrip(BLANK) or any(c not in self.ids for c in p) for p in self.ids) or model.encode("Ⅷ  é") != model.encode(f"Ⅷ{BLANK} é"):
             raise ValueError(f"{path} is no BPE model of the kind that this encoder knows")
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, i)
+            self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        ends = "" if "\n" in self.ids else "\n"
-        self.unit = re.compile(f"[{ends}]|{BLANK}+[^{BLANK}{ends}]*|[^{BLANK}{ends}]+" if ends else f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
+        # Where no piece has two signs side by side no token crosses, so units may end there: line ends, words before points.
+        beside = {(x, y) for p in self.ids for x, y in zip(p, p[1:])}  # noqa: B905
+        line = "" if "\n" in self.ids else "\n"
+        inside = re.escape("".join(sorted({x for x, y in beside if y in POINTS and x.isalnum()})))
+        rest = f"{BLANK}{line}"
+        self.unit = re.compile(f"{BLANK}*[^\\W_{inside}]+(?=[{POINTS}])|{BLANK}+[^{rest}]*|[^{rest}]+" + (f"|{line}" if line else ""))
         self.size = n
         self.pairs: dict[int, bool] = {}
+        self.steps: dict[int, tuple[list[float], list[str], list[str]]] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -67,58 +76,87 @@ class Pieces:
         self.store, self.used = np.zeros(1 << 16, dtype=np.int32), 0
         self.starts, self.counts = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
 
-    def merged(self, word: str) -> list[str]:
-        """The pieces of some characters by merging, best score first and leftmost among equals: for pairs of tokens only, so a few characters."""
-        parts = list(word)
-        while True:
-            found = [(-self.scores[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in self.scores]
-            if not found:
-                return parts
-            i = min(found)[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    def merges(self, token: int) -> tuple[list[float], list[str], list[str]]:
+        """How a token comes about from its characters, best score first and leftmost among equals.
+
+        The score of each merge, NEVER behind the last, and the first and the last part before each merge and at the end.
+        """
+        if token not in self.steps:
+            parts, scores, firsts, lasts = list(self.names[token]), [], [], []
+            while True:
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+                found = [(-self.scores[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in self.scores]
+                if not found:
+                    break
+                score, i = min(found)
+                scores.append(-score)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            self.steps[token] = ([*scores, NEVER], firsts, lasts)
+        return self.steps[token]
 
     def together(self, left: int, right: int) -> bool:
-        """Whether token `right` can follow token `left` (0: the beginning or an unknown character, with which nothing merges)."""
-        key = left * self.size + right
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            a, b = self.names.get(left, ""), self.names[right]
-            found = self.pairs[key] = self.merged(a + b) == ([a, b] if a else [b])
-        return found
+        """Whether token `right` can follow token `left` (0: the beginning or an unknown character, with which nothing merges).
+
+        Their characters are merged side by side; the tokens go together unless a merge over the seam is ever the best.
+        """
+        if len(self.pairs) > REMEMBERED_PAIRS:
+            self.pairs.clear()
+        b, firsts, wholes = self.merges(right)
+        fits = wholes[-1] == self.names[right]
+        if left and fits:
+            a, _, lasts = self.merges(left)
+            i = j = 0
+            while True:
+                seam = self.scores.get(lasts[i] + firsts[j], NEVER)
+                if seam > a[i] and seam >= b[j] and seam > NEVER:
+                    fits = False
+                    break
+                if a[i] == b[j] == NEVER:
+                    break
+                if a[i] >= b[j]:
+                    i += 1
+                else:
+                    j += 1
+        self.pairs[left * self.size + right] = fits
+        return fits
 
     def ids_of(self, unit: str) -> list[int]:
         """The ids of one unit, by the last token of each of its prefixes."""
-        last = [0] * (len(unit) + 1)
-        length, together = self.length, self.together
-        for end, token in self.automaton.iter(unit):
-            if not last[end + 1] and together(last[end + 1 - length[token]], token):
-                last[end + 1] = token
+        last, back = [0] * (len(unit) + 1), [1] * (len(unit) + 1)
+        pairs, size = self.pairs, self.size
+        for end, (token, n) in self.automaton.iter(unit):
+            end += 1
+            if not last[end]:
+                left = last[end - n]
+                fits = pairs.get(left * size + token)
+                if fits or fits is None and self.together(left, token):
+                    last[end], back[end] = token, n
         out: list[int] = []
         at = len(unit)
         while at:
             if token := last[at]:
                 out.append(token)
-                at -= length[token]
             else:  # no piece has this character: its bytes stand for it
                 out.extend(self.bytes[b] for b in reversed(unit[at - 1].encode()))
-                at -= 1
-        return out[::-1]
-
-    def number(self, unit: str) -> int:
-        """The number under which the ids of a unit are stored."""
-        if (n := self.known.get(unit)) is None:
-            n = self.known[unit] = len(self.known)
-            ids = self.ids_of(unit)
-            if n >= len(self.starts):
-                self.starts, self.counts = np.resize(self.starts, 2 * n), np.resize(self.counts, 2 * n)
-            while self.used + len(ids) > len(self.store):
-                self.store = np.resize(self.store, 2 * len(self.store))
-            self.store[self.used : self.used + len(ids)] = ids
-            self.starts[n], self.counts[n] = self.used, len(ids)
-            self.used += len(ids)
-        return n
+            at -= back[at]
+        out.reverse()
+        return out
+
+    def learn(self, units: list[str]) -> None:
+        """Store the ids of units that are not known yet."""
+        found = list(map(self.ids_of, units))
+        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        n, total = len(self.known), int(counts.sum())
+        while n + len(units) > len(self.starts):
+            self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
+        while self.used + total > len(self.store):
+            self.store = np.resize(self.store, 2 * len(self.store))
+        self.store[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=total)
+        self.starts[n : n + len(units)] = self.used + np.cumsum(counts) - counts
+        self.counts[n : n + len(units)] = counts
+        self.used += total
+        self.known.update(zip(units, range(n, n + len(units)), strict=True))
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -127,7 +165,7 @@ class Pieces:
             self.forget()
         units = self.unit.findall(BLANK + text.replace(" ", BLANK))
         known, out, start = self.known, [], 0
-        for k, unit in enumerate(units):
+        for k, unit in enumerate(units if max(map(len, units)) > LONG_UNIT else ()):
             if len(unit) > LONG_UNIT and unit not in known:
                 out += [self.stored(units[start:k]), np.array(self.ids_of(unit), dtype=np.int32)]
                 start = k + 1
@@ -137,8 +175,8 @@ class Pieces:
     def stored(self, units: list[str]) -> np.ndarray:
         """The ids of units one after the other, from the store."""
         known = self.known
-        for unit in set(units).difference(known):
-            self.number(unit)
+        if new := set(units).difference(known):
+            self.learn(list(new))
         at = np.fromiter(map(known.__getitem__, units), dtype=np.int64, count=len(units))
         counts = self.counts[at]
         ends = np.cumsum(counts)

@@ -37,6 +37,7 @@ def test_long_units_and_forgetting(monkeypatch):
     texts = [long, f"a {long[:500]} b {long[:500]}", " " * 5000, "\n" * 3000, "🙂" * 2000]
     assert [PIECES.encode(t).tolist() for t in texts] == [LIBRARY.encode(t) for t in texts]
     monkeypatch.setattr(sentence_pieces, "REMEMBERED", 50)
+    monkeypatch.setattr(sentence_pieces, "REMEMBERED_PAIRS", 50)
     fresh = sentence_pieces.Pieces(PATH)
     texts = [" ".join("".join(rng.choices("abcde", k=4)) for _ in range(60)) for _ in range(40)]
     assert [fresh.encode(t).tolist() for t in texts] == [LIBRARY.encode(t) for t in texts]
