@@ -43,7 +43,7 @@ class Pieces:
     """
 
     def __init__(self, path: str):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         self.ids: dict[str, int] = {}
         self.bytes: dict[int, int] = {}
@@ -211,12 +211,13 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", text_col:
     The input keeps its other columns; a column with the name of the new one is an error.
     """
     free_of(encoded, text_col)
-    keep = f"decoder of {model_path}"
+    # The state of the encoder, so that a worker that serves both in turn forgets nothing.
+    keep = f"pieces of {model_path}"
     ids_at = encoded.columns.index(ids_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + f", `{text_col}` string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = worker_state(keep, lambda: sentencepiece.SentencePieceProcessor(model_file=model_path))
+        model = worker_state(keep, lambda: Pieces(model_path)).model
         for batch in batches:
             for lo in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(lo, TOGETHER)
