@@ -10,12 +10,14 @@ the end. Units between blanks and line ends are encoded once and remembered.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from collatio.llm.shared import free_of, releasing, worker_state
 
 BLANK = "▁"
+#: What stands between the units of a column of texts; texts that hold it are cut one by one.
+SEPARATOR = "\x00"
 #: Signs that close a word.
 POINTS = ",.;:!?"
 NEVER = float("-inf")
@@ -31,7 +35,7 @@ REMEMBERED = 500_000
 REMEMBERED_PAIRS = 1_000_000
 #: Characters of units up to which they are remembered: longer ones hardly come again.
 LONG_UNIT = 64
-#: Documents' ids are put together some at a time, so that those of a whole Arrow batch are never lists at once.
+#: Documents whose ids are Python lists at once, for the library to decode.
 TOGETHER = 256
 
 
@@ -66,6 +70,8 @@ class Pieces:
         inside = re.escape("".join(sorted({x for x, y in beside if y in POINTS and x.isalnum()})))
         rest = f"{BLANK}{line}"
         self.unit = re.compile(f"{BLANK}*[^\\W_{inside}]+(?=[{POINTS}])|{BLANK}+[^{rest}]*|[^{rest}]+" + (f"|{line}" if line else ""))
+        #: Whether whole columns can be cut at once: by SEPARATOR, in front of blanks, around line ends, before points.
+        self.columnar = bool(line) and not any(SEPARATOR in p for p in self.ids) and not any(unicodedata.category(x)[0] == "L" or x.isdecimal() for x in inside)
         self.size = n
         self.pairs: dict[int, bool] = {}
         self.steps: dict[int, tuple[list[float], list[str], list[str]]] = {}
@@ -143,11 +149,11 @@ class Pieces:
         out.reverse()
         return out
 
-    def learn(self, units: list[str]) -> None:
-        """Store the ids of units that are not known yet."""
+    def learn(self, units: list[str], number: int) -> None:
+        """Store the ids of units that are not known yet, from this number on."""
         found = list(map(self.ids_of, units))
         counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        n, total = len(self.known), int(counts.sum())
+        n, total = number, int(counts.sum())
         while n + len(units) > len(self.starts):
             self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
         while self.used + total > len(self.store):
@@ -156,31 +162,63 @@ class Pieces:
         self.starts[n : n + len(units)] = self.used + np.cumsum(counts) - counts
         self.counts[n : n + len(units)] = counts
         self.used += total
-        self.known.update(zip(units, range(n, n + len(units)), strict=True))
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype=np.int32)
+        return self.encode_all(pa.array([text]))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a string array without nulls."""
+        if not len(texts):
+            return []
         if len(self.known) > REMEMBERED:
             self.forget()
-        units = self.unit.findall(BLANK + text.replace(" ", BLANK))
-        known, out, start = self.known, [], 0
-        for k, unit in enumerate(units if max(map(len, units)) > LONG_UNIT else ()):
-            if len(unit) > LONG_UNIT and unit not in known:
-                out += [self.stored(units[start:k]), np.array(self.ids_of(unit), dtype=np.int32)]
-                start = k + 1
-        out.append(self.stored(units[start:]))
-        return out[0] if len(out) == 1 else np.concatenate(out)
-
-    def stored(self, units: list[str]) -> np.ndarray:
-        """The ids of units one after the other, from the store."""
+        if not self.columnar:
+            return list(map(self.encode_odd, texts.to_pylist()))
+        odd = np.flatnonzero(pc.match_substring_regex(texts, f"^$|^ |  |{BLANK}|{SEPARATOR}").to_numpy(zero_copy_only=False))
+        cut = pc.replace_substring(pc.replace_substring(texts, " ", SEPARATOR + BLANK), "\n", f"{SEPARATOR}\n{SEPARATOR}")
+        cut = pc.split_pattern(pc.replace_substring_regex(cut, f"([\\pL\\p{{Nd}}])([{POINTS}])", f"\\1{SEPARATOR}\\2"), SEPARATOR)
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        values = cut.values.slice(offsets[0], offsets[-1] - offsets[0])
+        offsets -= offsets[0]
+        # The blank in front of each text belongs to its first unit.
+        firsts = pc.binary_join_element_wise(BLANK, values.take(pa.array(offsets[:-1])), "").to_pylist()
+        coded = values.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        at, opening = self.numbers([words, firsts])
+        at = at[coded.indices.to_numpy()]
+        at[offsets[:-1]] = opening
+        ids, ends = self.gathered(at)
+        ends = ends[offsets]
+        out = [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for i in odd:
+            out[i] = self.encode_odd(texts[int(i)].as_py())
+        return out
+
+    def encode_odd(self, text: str) -> np.ndarray:
+        """The ids of a text whose blanks may stand together, or that is empty."""
+        units = self.unit.findall(BLANK + text.replace(" ", BLANK)) if text else []
+        return self.gathered(self.numbers([units])[0])[0]
+
+    def numbers(self, lists: list[list[str]]) -> list[np.ndarray]:
+        """Where the ids of units are stored. Those of long units are overwritten by what is learned next."""
         known = self.known
-        if new := set(units).difference(known):
-            self.learn(list(new))
-        at = np.fromiter(map(known.__getitem__, units), dtype=np.int64, count=len(units))
+        found = [list(map(known.get, units)) for units in lists]
+        new = {u for units, at in zip(lists, found, strict=True) if None in at for u, n in zip(units, at, strict=True) if n is None}
+        if not new:
+            return [np.array(at, dtype=np.int64) for at in found]
+        short, long = [u for u in new if len(u) <= LONG_UNIT], [u for u in new if len(u) > LONG_UNIT]
+        self.learn(short, len(known))
+        known.update(zip(short, range(len(known), len(known) + len(short)), strict=True))
+        used, once = self.used, dict(zip(long, range(len(known), len(known) + len(long)), strict=True))
+        self.learn(long, len(known))
+        self.used = used
+        return [np.array([once[u] if (n := known.get(u)) is None else n for u in units], dtype=np.int64) for units in lists]
+
+    def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of stored units one after the other, and where those of each begin and the last ones end."""
         counts = self.counts[at]
-        ends = np.cumsum(counts)
-        return self.store[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return self.store[np.repeat(self.starts[at] - ends[:-1], counts) + np.arange(ends[-1])], ends
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids", end_id: int | None = 2) -> DataFrame:
@@ -195,11 +233,10 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         pieces = worker_state(keep, lambda: Pieces(model_path))
         end = np.array([] if end_id is None else [end_id], dtype=np.int32)
         for batch in batches:
-            for lo in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(lo, TOGETHER)
-                found = [np.concatenate([pieces.encode(t.as_py()), end]) for t in part.column(1)]
-                offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found), pa.int32()))], names=["doc_id", ids_col])
+            found = pieces.encode_all(batch.column(1))
+            offsets = np.cumsum([0, *(len(x) + len(end) for x in found)]).astype(np.int32)
+            ids = np.concatenate([x for part in found for x in (part, end)]) if found else end[:0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))], names=["doc_id", ids_col])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return source.mapInArrow(releasing(run, keep), f"doc_id long, `{ids_col}` array<int>")

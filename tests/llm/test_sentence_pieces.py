@@ -79,3 +79,12 @@ def test_query(spark):
         ids = [*LIBRARY.encode(text or ""), 2]
         assert found[i] == (len(ids), sha(" ".join(map(str, ids))), sha(LIBRARY.decode(ids)))
     assert len(found) == len(docs)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab  .,;²é2▁\n\t\x00漢", max_size=30), max_size=8))
+def test_columns_of_texts(texts):
+    import pyarrow as pa
+
+    assert [x.tolist() for x in PIECES.encode_all(pa.array(texts, pa.string()))] == [LIBRARY.encode(t) for t in texts]
+    assert PIECES.columnar
