@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collatio.catalog.registry import query
+from collatio.operators import similarity
 from collatio.plans import history, ingest, matching
 from collatio.sources.edge import DictionaryTranslator
 from collatio.sources.readers import table
@@ -138,6 +139,24 @@ def blocked_fuzzy(spark: SparkSession, d: str) -> DataFrame:
     return matching.best_matches(parts, parts.withColumn("key", F.reverse("key")), blocks=["p_brand", "p_size"], at_least=0.4, junk=True)
 
 
+@query()
+def contained_fuzzy(spark: SparkSession, d: str) -> DataFrame:
+    """JOIN-13 as the metadata pass has it: equal size, and one word of the left part's type among the right part's words."""
+    parts = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("key"), "p_size", F.split("p_type", " ").alias("words"))
+    left = parts.withColumn("word", F.element_at("words", (F.lit(1) + F.col("id") % F.size("words")).cast("int")))
+    return matching.best_matches(left, parts.withColumn("key", F.reverse("key")), blocks=["p_size"], contains=("word", "words"), at_least=0.6, junk=True)
+
+
+@query(
+    "WITH n AS (SELECT p_name AS k, min(p_partkey) AS id FROM part GROUP BY 1), c AS (SELECT id, any_value(length(k)) AS len, ch, count(*) AS n FROM (SELECT id, k, unnest(string_split(k, '')) AS ch FROM n) GROUP BY id, ch), "
+    "p AS (SELECT a.id AS l_id, b.id AS r_id, CAST(2 * sum(least(a.n, b.n)) AS DOUBLE) / any_value(a.len + b.len) AS bound FROM c a JOIN c b USING (ch) GROUP BY 1, 2) SELECT l_id, r_id, bound FROM p WHERE l_id <> r_id AND bound >= 0.95"
+)
+def shared_characters(spark: SparkSession, d: str) -> DataFrame:
+    """MTH-05's bound: all pairs of part names that share enough characters for a ratio of 0.95, by the index."""
+    names = table(spark, d, "part").groupBy(F.col("p_name").alias("key")).agg(F.min("p_partkey").alias("id")).select("id", F.col("id").alias("ord"), "key")
+    return similarity.candidates(names, names, 0.95).where("l_id <> r_id").select("l_id", "r_id", "bound")
+
+
 @query("SELECT doc_id, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' ELSE lang END AS lang, lang AS \"langJP\", source, source AS \"sourceJP\" FROM documents")
 def distinct_then_apply(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "lang", "source")

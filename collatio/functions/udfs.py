@@ -107,8 +107,3 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def ratio_junk(a: pd.Series, b: pd.Series) -> pd.Series:
     """MTH-05 with the popular-element heuristic, which only texts of 200 characters or more meet (Q-15)."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
-def ratio_bound(a: Column, b: Column) -> Column:
-    """An upper bound of ratio that needs lengths only: twice the shorter over the sum."""
-    return F.when(F.length(a) + F.length(b) == 0, 1.0).otherwise(2.0 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b)))

@@ -7,13 +7,11 @@ whole-table joins in the order in which later steps read what earlier ones wrote
 
 from __future__ import annotations
 
-from math import log
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from collatio.functions import text, udfs
-from collatio.operators import joins
+from collatio.operators import joins, similarity
 
 JP, EN, TWIN = "jp", "en", "twin"
 PREFIX = "次元の"
@@ -101,29 +99,13 @@ def unmatched_documents(wiki_forms: DataFrame, cards: DataFrame) -> DataFrame:
     return joins.unmatched_groups(wiki_forms.where("coalesce(key, '') <> ''"), "url", "key", sides.select(udfs.normalized(text.strip_groups(F.col("jp"))).alias("key")))
 
 
-def best_matches(left: DataFrame, right: DataFrame, blocks: list[str] | None = None, at_least: float = 0.7, junk: bool = False) -> DataFrame:
+def best_matches(left: DataFrame, right: DataFrame, blocks: list[str] | None = None, at_least: float = 0.7, junk: bool = False, contains: tuple[str, str] | None = None) -> DataFrame:
     """JOIN-12, JOIN-13, AGG-12: for each row of left (id, ord, key) the row of right (id, ord, key) with the highest ratio, first one on ties.
 
-    blocks names columns that both sides share and that must be equal, so that the join is a hash join; without them
-    pairs are blocked by length, which loses none: a ratio of t needs lengths within a factor of t / (2 - t).
+    blocks: columns of both sides that must be equal (the type). contains: a column of left that a list column of right
+    must hold (the civilization).
     """
-    a = left.select(*[F.col(c).alias(f"l_{c}") for c in left.columns])
-    b = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
-    on = F.lit(True)
-    for c in blocks or []:
-        on = on & (F.col(f"l_{c}") == F.col(f"r_{c}"))
-    if not blocks:
-        # Lengths in geometric classes: partners are at most `reach` classes away.
-        factor = 1.25
-        reach = int(-(-log((2 - at_least) / at_least) // log(factor)))
-        size = lambda c: F.floor(F.log(F.length(c) + F.lit(0.0)) / log(factor)).cast("int")
-        a = a.where("l_key <> ''").withColumn("_class", F.explode(F.sequence(size("l_key") - reach - 1, size("l_key") + reach + 1)))
-        b = b.where("r_key <> ''").withColumn("_rclass", size("r_key"))
-        on = F.col("_class") == F.col("_rclass")
-    pairs = a.join(b, on & (udfs.ratio_bound(F.col("l_key"), F.col("r_key")) >= at_least))
-    scored = pairs.withColumn("ratio", (udfs.ratio_junk if junk else udfs.ratio)(F.col("l_key"), F.col("r_key"))).where(F.col("ratio") >= at_least)
-    best = scored.groupBy("l_id").agg(F.max_by(F.struct("r_id", "ratio"), F.struct("ratio", (-F.col("l_ord")).alias("a"), (-F.col("r_ord")).alias("b"))).alias("best"))
-    return best.select("l_id", "best.r_id", F.bround("best.ratio", 3).alias("similarity"))
+    return similarity.best_matches(left, right, at_least, blocks, contains, junk)
 
 
 def applied(suggestions: DataFrame, cards: DataFrame, wiki: DataFrame, at_least: float, require_english: bool = False) -> DataFrame:
