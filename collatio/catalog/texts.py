@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collatio.catalog.registry import query
-from collatio.functions import html, scalars, terms, text, udfs
+from collatio.functions import html, pages, scalars, terms, text, udfs
 from collatio.sources.readers import table
 
 
@@ -206,3 +206,60 @@ def label_pairs(spark: SparkSession, d: str) -> DataFrame:
 def label_sections(spark: SparkSession, d: str) -> DataFrame:
     """STR-47 on whole pages: what stands between two labels of the markup."""
     return table(spark, d, "pages").select("page_id", text.blank_to_null(text.section(F.col("html"), "<title>", "</title>")).alias("title"))
+
+
+#: HTM-02: the four layouts that the catalogue's sites use, each with its way to say a field.
+LAYOUTS = (
+    pages.Boxes(".cardDataRow .dataBox", ".dataTit", ".dataTxt", joined=True),
+    pages.Boxes(".cardData .cardDataRow .cardDataCell", "h6", "div.data"),
+    pages.Boxes(".status span.status-Item", "span.heading"),
+    pages.Boxes(".info", "dt", "dd", each=True),
+)
+
+
+def _order_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A page an order: a box a line, in the layout of its line number, rows of boxes nested to the depth of the quantity."""
+    name, value = F.concat(F.lit("Line "), "l_linenumber"), F.concat(F.col("l_linestatus"), F.lit(" <b>&amp;</b> "), "l_partkey")
+    icon = F.concat(F.lit('<img alt="'), "l_returnflag", F.lit('">'))
+    said = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    forms = (
+        said('<div class="cardDataRow side"><div><dl class="dataBox"><dt class="dataTit">', name, '</dt><dd class="dataTxt wide">', value, icon, "</dd></dl></div></div>"),
+        said('<div class="cardData"><div class="cardDataRow"><div class="cardDataCell"><h6>', name, '</h6><div class="data"> ', value, icon, "</div></div></div></div>"),
+        said('<div class="status"><span class="status-Item"><span class="heading">', name, "</span> ", value, icon, "</span></div>"),
+        said('<div class="info"><dl><dt>', name, "<dd>", value, icon, "<dt>Part<dd>", F.col("l_partkey").cast("string"), "</dl></div>"),
+    )
+    kind = F.col("l_linenumber") % 4
+    box = F.when(kind == 0, forms[0]).when(kind == 1, forms[1]).when(kind == 2, forms[2]).otherwise(forms[3])
+    depth = (F.col("l_quantity").cast("int") % 5).cast("int")
+    wrapped = F.concat(F.repeat(F.lit("<div>"), depth), box, F.repeat(F.lit("</div>"), depth))
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice", wrapped.alias("box")))).alias("rows"))
+    return rows.select("l_orderkey", F.concat(F.lit("<body>"), F.array_join(F.transform("rows", lambda r: r["box"]), "\n"), F.lit("</body>")).alias("html"))
+
+
+@query(
+    "WITH f AS (SELECT l_orderkey, 'Line ' || l_linenumber AS label, CASE WHEN l_linenumber % 4 = 0 THEN l_linestatus || '&' || l_partkey ELSE l_linestatus || ' & ' || l_partkey END AS value, l_returnflag AS icon, row(l_linenumber, l_partkey, l_extendedprice) AS o FROM lineitem "
+    "UNION ALL SELECT l_orderkey, 'Part', CAST(l_partkey AS VARCHAR), '', row(l_linenumber, l_partkey, l_extendedprice) FROM lineitem WHERE l_linenumber % 4 = 3) SELECT l_orderkey, label, arg_max(value, o) AS value, arg_max(icon, o) AS icon FROM f GROUP BY l_orderkey, label"
+)
+def boxed_fields(spark: SparkSession, d: str) -> DataFrame:
+    """HTM-02: labelled boxes of four layouts on one page; a label that comes twice counts as it comes last."""
+    found = pages.boxes(F.col("html"), *LAYOUTS)
+    rows = _order_pages(spark, d).select("l_orderkey", F.explode(found).alias("label", "box"))
+    return rows.select("l_orderkey", "label", F.col("box.text").alias("value"), F.array_join("box.alts", ",").alias("icon"))
+
+
+@query(
+    "SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice) - 1 AS INTEGER) AS pos, 'Part ' || l_partkey AS name, '部' || l_partkey AS name_jp, CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag END AS civilization, "
+    "l_linestatus || chr(10) || 'x ' || CAST(l_quantity AS INTEGER) AS english_text, count(*) OVER (PARTITION BY l_orderkey) >= 2 AS is_twinpact FROM lineitem"
+)
+def wiki_tables(spark: SparkSession, d: str) -> DataFrame:
+    """HTM-05: sections of a wiki table by header rows that are known by their style, with tables inside cells."""
+    said = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    key, mode = F.col("l_partkey").cast("string"), F.col("l_returnflag")
+    head = said('<tr><th colspan="2"><div style="font-size: 1em; color: white;">Part ', key, "<br/><small><ruby><rb>部</rb><rp>(</rp><rt>ぶ</rt></ruby>", key, "</small></div></th></tr>")
+    civ = F.when(F.col("l_linenumber") % 2 == 0, said("<tr><td>Civilization:</td><td><a>", mode, "</a> <small>(icon)</small></td></tr>")).otherwise("")
+    text_row = said("<tr><td>Notes</td><td><table><tr><td>inner</td><td>English Tex</td></tr></table></td></tr><tr><td>English Text:</td><td>", F.col("l_linestatus"), "<br>x ", F.col("l_quantity").cast("int").cast("string"), "</td></tr>")
+    rows = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice", F.concat(head, civ, text_row).alias("rows")))).alias("r"))
+    html_ = said('<table><tr><td>menu</td></tr></table><table class="wikitable">', F.array_join(F.transform("r", lambda x: x["rows"]), ""), "</table>")
+    parsed = rows.select("l_orderkey", pages.sections(html_, ("Civilization", "English Text"), "table.wikitable").alias("s"))
+    out = parsed.select("l_orderkey", F.posexplode("s").alias("pos", "x"), (F.size("s") >= 2).alias("is_twinpact"))
+    return out.select("l_orderkey", "pos", F.col("x")["name"].alias("name"), F.col("x")["name_jp"].alias("name_jp"), F.try_element_at("x", F.lit("Civilization")).alias("civilization"), F.col("x")["English Text"].alias("english_text"), "is_twinpact")

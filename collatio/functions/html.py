@@ -1,15 +1,13 @@
-"""Parsing of catalogue pages: native where patterns do, an Arrow UDF over html.parser where structure counts."""
+"""Parsing of catalogue pages: native where patterns do, the element tree of `pages` where structure counts."""
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
-from collatio.functions import text
+from collatio.functions import pages, text
 
 
 def title(html: Column) -> Column:
@@ -31,89 +29,13 @@ def card_form(n_details: Column, n_images: Column) -> Column:
     return F.when((n_details > 1) & (n_images == n_details), "awaken").when((n_details == 2) & (n_images == 1), "twinpact").otherwise("single")
 
 
-class _Tables(HTMLParser):
-    """Cells of every table row, and texts of dt and dd, br as a new line; script and style skipped."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list[str]] = []
-        self.terms: list[tuple[str, str]] = []
-        self.text: list[str] | None = None
-        self.silent = 0
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.silent += 1
-        elif tag == "tr":
-            self.rows.append([])
-        elif tag in ("td", "th", "dt", "dd"):
-            self.text = []
-        elif tag == "br" and self.text is not None:
-            self.text.append("\n")
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.silent = max(0, self.silent - 1)
-        elif tag in ("td", "th", "dt", "dd") and self.text is not None:
-            said = "\n".join(" ".join(x.split()) for x in "".join(self.text).split("\n")).strip()
-            self.text = None
-            if tag in ("dt", "dd"):
-                self.terms.append((tag, said))
-            else:
-                if not self.rows:
-                    self.rows.append([])
-                self.rows[-1].append(said)
-
-    def handle_data(self, data):
-        if self.text is not None and not self.silent:
-            self.text.append(data)
-
-
-def _parsed(html: str) -> _Tables:
-    parser = _Tables()
-    parser.feed(html)
-    parser.close()
-    return parser
-
-
-def label_pairs(html: str) -> dict[str, str]:
-    """HTM-01, HTM-02: labels and values of rows with two cells or four (two pairs), and of dt with the dd after it; the last wins."""
-    parsed, out = _parsed(html), {}
-    for row in parsed.rows:
-        if len(row) in (2, 4):
-            out |= dict(zip(row[::2], row[1::2], strict=True))
-    label = None
-    for kind, said in parsed.terms:
-        if kind == "dt":
-            label = said
-        elif label is not None:
-            out[label] = said
-            label = None
-    return {k: v for k, v in out.items() if k}
-
-
 @F.pandas_udf(MapType(StringType(), StringType()))
 def labelled(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: None if h is None else label_pairs(h))
-
-
-def header_sections(html: str, names: tuple[str, ...]) -> list[dict[str, str]]:
-    """HTM-05: a section per one-cell row (the header row), with those of its labelled fields that are in names."""
-    out: list[dict[str, str]] = []
-    for row in _parsed(html).rows:
-        if len(row) == 1 and row[0]:
-            out.append({"name": row[0]})
-        elif len(row) == 2 and out and row[0].rstrip(":") in names:
-            out[-1][row[0].rstrip(":")] = row[1]
-    return out
-
+    """HTM-01: label -> value of table rows and definition lists."""
+    return html.map(lambda h: None if h is None else pages.label_rows(h))
 
-def sections(c: Column, names: tuple[str, ...]) -> Column:
-    @F.pandas_udf("array<map<string,string>>")
-    def parse(html: pd.Series) -> pd.Series:
-        return html.map(lambda h: None if h is None else header_sections(h, names))
 
-    return parse(c)
+sections = pages.sections
 
 
 def ruby_names(c: Column) -> tuple[Column, Column]:
