@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from collatio.llm import html_extract, langid, license_scan, quality
@@ -139,6 +141,55 @@ def test_a_marked_title_is_not_the_article():
     assert html_extract.main_text(page, html_extract.trained_tree())[0] == f"T\n\n{body}\n\n{body}"
 
 
+BODY = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f'<article><p>un<b class="k">bel</b>ievable {BODY}</p></article>', f"unbelievable {BODY}"),
+        ('<article><p>See <code class="x">f()</code> and <time datetime="2">now</time>, ok</p></article>', "See f() and now, ok"),
+        (f'<p>{BODY} <span class="x">word</span> goes on</p><p>{BODY}</p>', f"{BODY} word goes on\n\n{BODY}"),
+        (f'<article><p>a <span class="ad">BUY</span> b <span hidden>c</span>{BODY}</p></article>', f"a b {BODY}"),
+        (f"<article><p>{BODY} <math><mi>x</mi></math></p></article>", f"{BODY} x"),
+        (f'<div class="no-sidebar"><article><p>{BODY}</p></article></div>', BODY),
+        (f'<article><p>{BODY}</p><div id="search-history"><p>one</p></div><div class="share-price">12</div><div class="notice-board">three</div></article>', f"{BODY}\n\none\n\n12\n\nthree"),
+        (f'<form id="aspnetForm"><div class="nav-left"><a href=1>x</a></div><div><p>{BODY}</p><p>{BODY}</p></div></form>', f"{BODY}\n\n{BODY}"),
+        (f"<div><p>{BODY}</p><p>{BODY}</p></div><form>Write {BODY}</form>", f"{BODY}\n\n{BODY}"),
+        (f'<div class="post-with-comments"><p>{BODY}</p><p>{BODY}</p></div>', f"{BODY}\n\n{BODY}"),
+        ("<p>Two short ones.</p><p>Here they are.</p>", "Two short ones.\n\nHere they are."),
+        (f'<article><p>{BODY}</p><section class="comments-area"><article class="comment"><p>I say {BODY} {BODY} {BODY}</p></article></section></article>', BODY),
+        (f'<div class="cookie-banner"><p>{BODY} {BODY} {BODY}</p></div><main><p>{BODY}</p></main>', BODY),
+        (f"<aside><article><p>{BODY}</p></article></aside><article><p>{BODY} x</p></article>", f"{BODY} x"),
+        (f'<div id=page><div id=menu><a href=1>a</a></div><div class=c><h2>Head</h2><p>{BODY}</p><p>Tiny.</p><ul><li>one<li>two</ul></div><div class=bottom><p>Contact us.</p></div></div>', f"Head\n\n{BODY}\n\nTiny.\n\none\n\ntwo"),
+        (f"<div><p>{BODY}</p><ul><li><a>a b</a><li><a>c</a><li><a>d e f</a><li><a>g</a></ul><p>{BODY}</p></div>", f"{BODY}\n\na b\n\ng\n\n{BODY}"),
+    ],
+)
+def test_what_names_and_inline_elements_do(page, text):
+    assert html_extract.main_text(page, html_extract.trained_tree())[0] == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 60), st.integers(0, 60), st.sampled_from(["span class=x", "b", "em id=nav-side data-x='>'", "code class='share-price y'", "time datetime=2", "my-part x=1"]))
+def test_inline_elements_change_no_text(a, b, tag):
+    text = f"An unbelievable story of {BODY}"[:80]
+    a, b = sorted((a, b))
+    marked = f"{text[:a]}<{tag}>{text[a:b]}</{tag.split()[0]}>{text[b:]}"
+    tree = html_extract.trained_tree()
+    assert html_extract.main_text(f"<article><p>{marked}</p></article>", tree)[0] == html_extract.main_text(f"<article><p>{text}</p></article>", tree)[0] == " ".join(text.split())
+
+
+def test_articles_are_found_by_their_words(spark):
+    """With article tags taken away, region, words and links of neighbours keep what the tags kept; no tag decides there."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    tree = html_extract.trained_tree()
+    for html in pages:
+        assert "<article>" in html
+        bare = html.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert html_extract.main_text(bare, tree)[0] == html_extract.main_text(html, tree)[0]
+        assert not any(b.article for b in html_extract.features(bare)[0])
+
+
 @pytest.mark.parametrize("size", [10, 5_000, 2_000_000])
 @pytest.mark.parametrize("quote", ['"', "'"])
 def test_attribute_values_of_any_length(size, quote):
@@ -158,7 +209,7 @@ def test_tags_with_many_attributes_and_stray_quotes():
 
 def test_open_tags_lose_no_text_and_take_linear_time():
     tree = html_extract.trained_tree()
-    assert html_extract.blocks("<p>One</p><p>a <b c")[1][0] == "a <b c"
+    assert html_extract.blocks("<p>One</p><p>a <b c")[0][1].text == "a <b c"
     assert "One" in html_extract.main_text("<article>" + "<a x='>' " * 100_000 + "<p>One", tree)[0]
     html_extract.blocks("<a " * 300_000)
     html_extract.blocks("<video>" * 100_000)
