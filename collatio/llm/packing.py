@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from collatio.llm.shared import durable, releasing, worker_state
 
 CAPACITY = 1024
-#: Text that a worker encodes at a time: an Arrow batch of the usual size whole.
+#: Text that a worker encodes at a time: an Arrow batch of the usual size whole. It takes some 25 times as much memory meanwhile.
 CHUNK_BYTES = 5_000_000
 END_ID = 2
 #: Units whose ids a worker remembers while it packs; when it has more, it forgets them all and learns anew.
@@ -67,6 +67,7 @@ class Tokens:
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith(("\u0120", "\u010a"))
         self.known: dict[str, int] = {}
+        self.remembered = REMEMBERED
         self.ids, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.starts, self.counts = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
@@ -112,7 +113,7 @@ class Tokens:
         """The ids of each text of a string array without nulls."""
         if not len(texts):
             return []
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known, self.used = {}, 0
         rare = np.flatnonzero(pc.match_substring_regex(texts, SPACE_BEFORE_SPACE).to_numpy(zero_copy_only=False))
         cut = pc.split_pattern(pc.replace_substring_regex(texts, LINE_END, "\\1 \n"), " ")
@@ -150,11 +151,12 @@ def spans(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int, end_id: int) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, capacity: int, end_id: int, chunk_bytes: int, remembered: int) -> DataFrame:
     """The pieces, each with the task that made it and its number among that task's pieces of its length."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = worker_state(f"tokens of {tokenizer_path}", lambda: Tokens(tokenizer_path)), TaskContext.get().partitionId()
+        tokens.remembered = remembered
         seen = np.zeros(capacity + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
@@ -162,7 +164,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col
             rows: list[tuple] = []
             # Some megabytes at a time, so that the ids of one Arrow batch are never all in memory.
             ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-            cuts = np.unique([0, *np.searchsorted(ends, np.arange(CHUNK_BYTES, ends[-1], CHUNK_BYTES), side="right"), len(ids)]) if len(ids) else []
+            cuts = np.unique([0, *np.searchsorted(ends, np.arange(chunk_bytes, ends[-1], chunk_bytes), side="right"), len(ids)]) if len(ids) else []
             for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 for doc_id, found in zip(ids[lo:hi], tokens.encode(texts.slice(lo, hi - lo)), strict=True):
                     raw = found.astype("<u4").tobytes() + end
@@ -225,14 +227,14 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int
     return rows, n_sequences
 
 
-def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, chunk_bytes: int = CHUNK_BYTES, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is the end id alone; longer documents are cut into pieces of `capacity`, the first taking the
     remainder. Repeated rows are packed each; no document is dropped. An empty table gives no pieces. Other columns of
-    docs are ignored, whatever their names.
+    docs are ignored, whatever their names. chunk_bytes and remembered bound a worker's memory; no result depends on them.
     """
-    pieces = durable(tokenised_pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id))
+    pieces = durable(tokenised_pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id, chunk_bytes, remembered))
     by_task = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_task.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
