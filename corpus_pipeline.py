@@ -45,7 +45,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    """Packed in sequences of 1024 tokens. Executors that ran the other stages have less memory left, so workers take smaller steps."""
+    return packing.pack(docs, tokenizer_path(), chunk_bytes=1_000_000, remembered=100_000)
 
 
 STAGES = [
