@@ -10,7 +10,7 @@ from collatio.catalog.registry import query
 from collatio.functions import html, scalars, text, udfs
 from collatio.operators import aggregates, filters, joins, projections, sorts, windows
 from collatio.plans import history, ingest, matching
-from collatio.sources import readers, sinks
+from collatio.sources import readers, sinks, versions
 from collatio.sources.edge import DictionaryTranslator
 from collatio.sources.readers import table
 from collatio.streaming import twins
@@ -212,9 +212,10 @@ def sink_round_trip(spark: SparkSession, d: str) -> DataFrame:
     kept = spark.read.parquet(sinks.snapshot(spark.read.parquet(f"{path}/t"), path, "nations", "20240101_000000"))
     sinks.json_lines(kept, f"{path}/json")
     back = spark.read.schema(kept.schema).json(f"{path}/json")
-    sinks.write_state(spark, back.where("n_nationkey < 100 and n_regionkey % 2 = 0").select("n_nationkey"), f"{path}/state", 1)
-    newest = readers.newest(readers.listing(spark, f"{path}/state", "*.parquet"))
-    done = spark.read.parquet(f"{path}/state").select("n_nationkey", F.lit(True).alias("d")).join(newest.select(F.lit(True).alias("there")).limit(1), F.lit(True))
+    first = sinks.write_state(back.where("n_nationkey < 5").select("n_nationkey"), f"{path}/state", versions.NONE)
+    sinks.write_state(back.where("n_nationkey < 100 and n_regionkey % 2 = 0").select("n_nationkey"), f"{path}/state", first)
+    newest = readers.newest(readers.listing(spark, f"{path}/t", "*.parquet"))
+    done = versions.read(spark, f"{path}/state").select("n_nationkey", F.lit(True).alias("d")).join(newest.select(F.lit(True).alias("there")).limit(1), F.lit(True))
     todo = sinks.unfinished(back, done, "n_nationkey").select("n_nationkey").withColumn("t", F.lit(True))
     flag = F.when(F.col("t").isNull(), True).when(F.col("n_nationkey") < 100, False)
     return back.join(todo, "n_nationkey", "left").select("n_nationkey", "n_name", flag.alias("done"))

@@ -12,6 +12,7 @@ from collatio.operators import similarity
 from collatio.plans import history, ingest, matching
 from collatio.sources.edge import DictionaryTranslator
 from collatio.sources.readers import table
+from collatio.sources.store import KeyedStore
 from collatio.streaming import twins
 
 RUN = 1705276800000  # 2024-01-15
@@ -49,6 +50,49 @@ def price_history_merge(spark: SparkSession, d: str) -> DataFrame:
     return history.points(_after_run(spark, d))
 
 
+@query(
+    SPLIT + "SELECT '/p/' || user_id AS product_link, epoch_us(ts) // 1000 AS ts, CAST(arg_max(floor(value), event_id) AS INTEGER) AS price, 1 AS stock FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2 "
+    "UNION ALL SELECT '/p/' || user_id, 1705276800000, CAST(price AS INTEGER), 2 FROM n"
+)
+def store_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """JOIN-16 on a keyed store: the run's products meet the stored ones without a shuffle of these, and only touched slices are written."""
+    path = shared_path(spark)
+    store = KeyedStore(spark, f"products_{path.rpartition('-')[2]}", f"{path}/store", "product_link", slices=64, buckets=8)
+    store.create(_old_products(spark, d))
+    history.snapshot_rows(_listing(spark, d), RUN).write.parquet(f"{path}/run")
+    store.upsert(spark.read.parquet(f"{path}/run"), lambda stored, new: history.upserted(stored, new, RUN).drop("change"))
+    return history.points(store.read())
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 AND o_orderstatus <> 'F' THEN 'U' ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 3 = 0")
+def store_update(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-02, SNK-03 on a keyed store: non-null fields are set where the key is stored; keys that aren't add nothing."""
+    path = shared_path(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    store = KeyedStore(spark, f"orders_{path.rpartition('-')[2]}", f"{path}/store", "o_orderkey", slices=64, buckets=8)
+    store.create(orders.where("o_orderkey % 3 = 0"))
+    store.update(orders.where("o_orderkey % 10 = 0").select("o_orderkey", F.when(F.col("status") != "F", "U").alias("status"), (F.col("price") + 1).alias("price")))
+    return store.read()
+
+
+@query("SELECT '/p/' || user_id AS product_link, epoch_us(ts) // 1000 AS ts, CAST(arg_max(floor(value), event_id) AS INTEGER) AS price, 1 AS stock FROM events GROUP BY 1, 2")
+def stream_store_equals_batch(spark: SparkSession, d: str) -> DataFrame:
+    """STM-05, MAP-02: each micro-batch goes into the stored maps of its products; other slices stay as they are, and a repeated batch changes nothing."""
+    path = shared_path(spark)
+    facts = table(spark, d, "events").select(F.concat(F.lit("/p/"), "user_id").alias("product_link"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000).alias("ts"), F.floor("value").cast("int").alias("price"), F.lit(1).alias("stock"), F.col("event_id").alias("seq"))
+    facts.repartition(3).write.parquet(f"{path}/in")
+    store = KeyedStore(spark, f"points_{path.rpartition('-')[2]}", f"{path}/store", "product_link", slices=64, buckets=8)
+    store.create(history.point_maps(facts.limit(0)))
+
+    def put(batch: DataFrame, n: int) -> None:
+        new = history.point_maps(batch).persist()
+        store.upsert(new, history.with_points)
+        new.unpersist()
+
+    twins.run_to_end(twins.stream_of(spark, f"{path}/in", facts.schema), f"{path}/checkpoint", put)
+    return history.live_points(store.read())
+
+
 @query("SELECT user_id AS product_link, epoch_us(max(ts)) // 1000 AS ts, arg_max(value, ts) AS price FROM events GROUP BY user_id")
 def history_latest(spark: SparkSession, d: str) -> DataFrame:
     facts = table(spark, d, "events").select(F.col("user_id").alias("product_link"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000).alias("ts"), F.col("value").alias("price"))

@@ -58,3 +58,27 @@ def histories(facts: DataFrame, key: str = "product_link") -> DataFrame:
 
 def latest_points(facts: DataFrame, key: str = "product_link") -> DataFrame:
     return facts.groupBy(key).agg(F.max("ts").alias("ts"), F.max_by("price", "ts").alias("price"))
+
+
+def point_maps(facts: DataFrame, key: str = "product_link") -> DataFrame:
+    """(key, points): the points of a run or a micro-batch alone, by time, each with its seq; of one time the largest seq counts."""
+    entry = F.struct(F.col("ts").cast("string").alias("k"), F.struct("price", "stock", F.col("seq").cast("long").alias("seq")).alias("v"))
+    latest = facts.where(F.col(key).isNotNull()).groupBy(key, "ts").agg(F.max_by(entry, "seq").alias("e"))
+    return latest.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list("e"))).alias("points"))
+
+
+def with_points(stored: DataFrame, new: DataFrame, key: str = "product_link") -> DataFrame:
+    """STM-05, MAP-02: stored maps with new points put in, for `KeyedStore.upsert`; products that are not stored yet come in.
+
+    Of two points of one time the larger seq stays, so a batch that comes twice or late changes nothing. A point without
+    a price takes the place of earlier ones all the same (a tombstone): `live_points` leaves it out.
+    """
+    both = stored.withColumnRenamed("points", "_old").join(new.withColumnRenamed("points", "_new"), key, "full_outer")
+    pick = lambda _, a, b: F.when(b.isNull() | (a["seq"] > b["seq"]), a).otherwise(b)
+    merged_maps = F.map_zip_with("_old", "_new", pick)
+    return both.select(key, F.coalesce(merged_maps, F.col("_old"), F.col("_new")).alias("points"))
+
+
+def live_points(maps: DataFrame, key: str = "product_link") -> DataFrame:
+    """(key, ts, price, stock) of maps with seq: a row a point that has a price."""
+    return points(maps.withColumnRenamed("points", "price_history"), key).where("price IS NOT NULL")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from collatio.sources import versions
+
 
 def append(df: DataFrame, path: str) -> None:
     """SNK-01."""
@@ -77,6 +79,6 @@ def grown_manifest(known: DataFrame, seen: DataFrame, key: str = "path") -> Data
     return known.withColumn("added", F.lit(False)).unionByName(new.select(*known.columns).withColumn("added", F.lit(True)))
 
 
-def write_state(spark: SparkSession, rows: DataFrame, folder: str, version: int) -> None:
-    """SNK-08: a new version of a small state table; an existing version is an error, which is the optimistic lock."""
-    rows.coalesce(1).write.mode("error").parquet(f"{folder}/version={version}")
+def write_state(rows: DataFrame, path: str, expected: int) -> int:
+    """SNK-08: the version of a state table that follows `expected`; if another writer has made it, an error, which is the optimistic lock."""
+    return versions.commit(rows.coalesce(1), path, expected)

@@ -202,9 +202,9 @@ def test_sinks(spark, tmp_path):
     for _ in range(2):
         path = sinks.snapshot(df, str(tmp_path), "cards", "20240101_000000")
     assert spark.read.parquet(path).count() == 2
-    sinks.write_state(spark, df, f"{tmp_path}/state", 1)
-    with pytest.raises(Exception, match="(?i)exists"):
-        sinks.write_state(spark, df, f"{tmp_path}/state", 1)
+    assert sinks.write_state(df, f"{tmp_path}/state", -1) == 0
+    with pytest.raises(Exception, match="version 0 of .* is there already"):
+        sinks.write_state(df, f"{tmp_path}/state", -1)
     sinks.rebuild(df, f"{tmp_path}/r", "id")
     assert spark.read.parquet(f"{tmp_path}/r").count() == 2
 
