@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from collatio.catalog.registry import query
 from collatio.operators import similarity
 from collatio.plans import history, ingest, matching
+from collatio.sources import pages, versions
 from collatio.sources.edge import DictionaryTranslator
 from collatio.sources.readers import table
 from collatio.sources.store import KeyedStore
-from collatio.streaming import twins
+from collatio.streaming import state, twins
 
 RUN = 1705276800000  # 2024-01-15
 
@@ -256,3 +257,38 @@ def stream_watermark_equals_batch(spark: SparkSession, d: str) -> DataFrame:
     twins.run_to_end(twins.stream_of(spark, f"{at}/in", events.schema), f"{at}/checkpoint", move)
     versions = spark.read.parquet(f"{at}/state").where("version >= 0")
     return versions.groupBy("event_type").agg(F.max("last").alias("last")).select("event_type", F.date_format("last", "yyyy-MM-dd HH:mm:ss").alias("last"))
+
+
+@query("SELECT user_id FROM events GROUP BY user_id")
+def stream_first_seen(spark: SparkSession, d: str) -> DataFrame:
+    """STM-03 with keyed state: users processed once over two runs of the stream, the second of which goes on where the first stopped."""
+    path = shared_path(spark)
+    users = table(spark, d, "events").select("user_id")
+    for part in (0, 1):
+        users.where(F.pmod(F.xxhash64("user_id"), F.lit(3)) != part).write.mode("append").parquet(f"{path}/in")
+        twins.to_files(state.first_seen(twins.stream_of(spark, f"{path}/in", users.schema, 8), "user_id"), f"{path}/checkpoint", f"{path}/out")
+    return spark.read.parquet(f"{path}/out")
+
+
+@query("SELECT event_type AS category, epoch_us(max(ts)) AS at FROM events GROUP BY event_type")
+def stream_last_times(spark: SparkSession, d: str) -> DataFrame:
+    """STM-02 with keyed state: each category's last time moves on over two runs; the last row of each is where it stands."""
+    path = shared_path(spark)
+    events = table(spark, d, "events").select("event_type", "ts")
+    for part in (0, 1):
+        events.where((F.second("ts") % 2 == part)).write.mode("append").parquet(f"{path}/in")
+        twins.to_files(state.last_times(twins.stream_of(spark, f"{path}/in", events.schema, 8), "event_type", "ts"), f"{path}/checkpoint", f"{path}/out")
+    return spark.read.parquet(f"{path}/out").groupBy("category").agg(F.max("at").alias("at"))
+
+
+@query("SELECT o_orderkey // 500 AS page, o_orderkey AS item FROM orders")
+def paged_items(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-17 to SRC-19: orders landed as pages that lead to one another, read as a stream that stops halfway, goes on and ends by itself."""
+    path = shared_path(spark)
+    folder = versions.folder_of(path) + "/pages"
+    listed = table(spark, d, "orders").groupBy(F.floor(F.col("o_orderkey") / 500).alias("page")).agg(F.collect_list("o_orderkey").alias("items"))
+    last = listed.agg(F.max("page")).first()[0]
+    pages.land(listed.select(F.col("page").cast("string").alias("name"), F.to_json("items").alias("items"), F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("next")), folder)
+    for most in (15, 1_000_000):
+        pages.run_to_end(pages.items(pages.chain(spark, folder, first="0", max_pages=most, per_batch=10), folder), f"{path}/checkpoint", f"{path}/out")
+    return spark.read.parquet(f"{path}/out").select(F.col("page").cast("long").alias("page"), F.col("item").cast("long").alias("item"))
