@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collatio.operators.ranges import numbered_by_range
+from collatio.operators.scans import ROWS, Scan
 
 
 def occurrence_ids(df: DataFrame, key: str, order: str, mark: str = "_ALT") -> DataFrame:
@@ -29,35 +30,32 @@ def letter_suffix(place: Column) -> Column:
     return F.char(place + 98)
 
 
-def carried_forward(df: DataFrame, group: str, order: str, header: Column, name: str) -> DataFrame:
+def carried_forward(df: DataFrame, group: str, order: str, header: Column, name: str, rows: int = ROWS) -> DataFrame:
     """WIN-04: df with the last header at or before each row of its group; null before the first."""
-    return df.withColumn(name, F.last(header, ignorenulls=True).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    return Scan(df, group, order, rows).last(header, name).done()
 
 
-def segments(df: DataFrame, group: str, order: str, starts: Column, text: str) -> DataFrame:
+def segments(df: DataFrame, group: str, order: str, starts: Column, text: str, rows: int = ROWS) -> DataFrame:
     """WIN-05: (group, segment, text): the lines from one start to the next, joined; what stands before the first goes."""
-    running = F.sum(F.when(starts, 1).otherwise(0)).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    grouped = df.withColumn("segment", running).where("segment > 0").groupBy(group, "segment").agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("_l"))
+    running = Scan(df, group, order, rows).total(F.when(starts, 1).otherwise(0), "segment").done()
+    grouped = running.where("segment > 0").groupBy(group, "segment").agg(F.array_sort(F.collect_list(F.struct(order, text))).alias("_l"))
     return grouped.select(group, "segment", F.array_join(F.transform("_l", lambda x: x[text]), "\n").alias(text))
 
 
-def until_empty(df: DataFrame, group: str, order: str, empty: Column, k: int) -> DataFrame:
+def until_empty(df: DataFrame, group: str, order: str, empty: Column, k: int, rows: int = ROWS) -> DataFrame:
     """WIN-06: rows before the k-th empty one in a row of their group."""
-    w = Window.partitionBy(group).orderBy(order)
-    flag = F.when(empty, 1).otherwise(0)
-    full = F.sum(flag).over(w.rowsBetween(-(k - 1), 0)) == k
-    stopped = F.max(F.when(full, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("_stop", stopped).where("_stop = 0").drop("_stop")
+    scan = Scan(df, group, order, rows).total(F.lit(1), "_place")
+    # The run of empty rows that a row ends: its place after that of the last row that isn't empty.
+    scan = scan.last(F.when(empty, None).otherwise(F.col("_place")), "_full")
+    return scan.ever(F.col("_place") - F.coalesce("_full", F.lit(0)) >= k, "_stop").done("_place", "_full").where("_stop = 0").drop("_stop")
 
 
-def between_headers(df: DataFrame, group: str, order: str, opens: Column, closes: Column) -> DataFrame:
+def between_headers(df: DataFrame, group: str, order: str, opens: Column, closes: Column, rows: int = ROWS) -> DataFrame:
     """WIN-07: rows after the header that opens and before the next header."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    state = F.last(F.when(opens, True).when(closes, False), ignorenulls=True).over(w)
-    return df.withColumn("_in", F.coalesce(state, F.lit(False)) & ~opens).where("_in").drop("_in")
+    state = Scan(df, group, order, rows).last(F.when(opens, True).when(closes, False), "_in").done()
+    return state.where(F.coalesce("_in", F.lit(False)) & ~opens).drop("_in")
 
 
-def until_old(df: DataFrame, group: str, order: str, old: Column) -> DataFrame:
+def until_old(df: DataFrame, group: str, order: str, old: Column, rows: int = ROWS) -> DataFrame:
     """STM-06: rows before the first old one of their group: what a reader that stops there has seen."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("_old", F.max(F.when(old, 1).otherwise(0)).over(w)).where("_old = 0").drop("_old")
+    return Scan(df, group, order, rows).ever(old, "_old").done().where("_old = 0").drop("_old")
