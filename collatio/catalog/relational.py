@@ -237,11 +237,11 @@ def stop_after_empties(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    "SELECT conv_id, turn FROM (SELECT *, last_value(CASE WHEN role = 'assistant' AND length(text) % 2 = 0 THEN 1 WHEN role = 'user' THEN 0 END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS st FROM conversations) WHERE st = 1 AND NOT (role = 'assistant' AND length(text) % 2 = 0)"
+    "SELECT conv_id, turn FROM (SELECT *, last_value(CASE WHEN role = 'assistant' AND length(text) % 2 = 0 THEN 1 WHEN role = 'user' AND length(text) % 3 = 0 THEN 0 END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS st FROM conversations) WHERE st = 1 AND NOT (role = 'assistant' AND length(text) % 2 = 0)"
 )
 def between_headers(spark: SparkSession, d: str) -> DataFrame:
     turns = table(spark, d, "conversations")
-    return windows.between_headers(turns, "conv_id", "turn", (F.col("role") == "assistant") & (F.length("text") % 2 == 0), F.col("role") == "user").select("conv_id", "turn")
+    return windows.between_headers(turns, "conv_id", "turn", (F.col("role") == "assistant") & (F.length("text") % 2 == 0), (F.col("role") == "user") & (F.length("text") % 3 == 0)).select("conv_id", "turn")
 
 
 @query("SELECT p_partkey, chr(CAST(98 + p_partkey % 20 AS INTEGER)) AS letter FROM part")
