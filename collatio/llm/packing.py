@@ -29,16 +29,20 @@ CAPACITY = 1024
 CHUNK_BYTES = 5_000_000
 END_ID = 2
 #: Units whose ids a worker remembers while it packs; when it has more, it forgets them all and learns anew.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: New units that are encoded in one text.
 TOGETHER = 1024
 #: White space as both Python and the tokenizer see it, then the rest up to the next such run. The tokenizer never joins characters over the seam.
 UNIT = re.compile(r"[^\S\x1c-\x1f]*(?:\S|[\x1c-\x1f])+|[^\S\x1c-\x1f]+")
 _SPACES = "\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 #: Where cutting at single spaces and in front of lines is not the same thing; RE2.
-SPACE_BEFORE_SPACE = f"[{_SPACES}] | \\n"
+SPACE_BEFORE_SPACE = f"[{_SPACES}] | \\n|\\x00"
 #: The end of a line that does not end in white space; RE2.
 LINE_END = f"([^{_SPACES}])\\n"
+#: In front of a unit that begins at a point right behind a word, which no blank precedes; texts that hold it are cut one by one.
+BARE = "\x00"
+#: The seam between a letter of the Latin blocks and a point; RE2. The tokenizer's pattern ends a word there.
+POINT = "([A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{24f}])([,.;:!?])"
 #: Ranks within a length that meet the plan in one chunk of the join.
 RANKS = 4096
 #: Rows of the plan, cut into chunks, up to which it is broadcast (some 50 bytes each); a longer one is joined by a shuffle.
@@ -50,8 +54,8 @@ PLAN_SCHEMA = "length long, first long, n long, each long, sequence long, at lon
 class Tokens:
     """Token ids of texts by a `tokenizers` file, remembering the ids of units between blanks.
 
-    A text is cut in front of each blank and of each new line behind a line's last word, or of each run of white space
-    where two kinds of it meet. A byte-level BPE of the GPT-2 kind splits there in any case, so the ids of a text are
+    A text is cut in front of each blank, of each new line behind a line's last word and of each point behind a letter, or
+    of each run of white space where two kinds of it meet. A byte-level BPE of the GPT-2 kind splits there in any case, so the ids of a text are
     those of its units one after the other; a test compares both. Units that open with a new line have no blank before
     it. Strings of special tokens are what the tokenizer takes them for by default.
     """
@@ -93,8 +97,8 @@ class Tokens:
         inner, rest = [], []
         for unit in units:
             word = unit[1:] if unit[:1] == "\n" else unit
-            (inner if word and word == word.strip() and "\n" not in word else rest).append(unit)
-        whole = lambda unit: unit if unit[:1] == "\n" else " " + unit
+            (inner if word and word == word.strip() and "\n" not in word and word[0] != BARE else rest).append(unit)
+        whole = lambda unit: unit if unit[:1] == "\n" else unit[1:] if unit[:1] == BARE else " " + unit
         if inner:
             # Many in one text; a token that opens with a blank or a new line opens the next unit.
             texts = ["".join(map(whole, inner[i : i + TOGETHER])) for i in range(0, len(inner), TOGETHER)]
@@ -116,7 +120,8 @@ class Tokens:
         if len(self.known) > self.remembered:
             self.known, self.used = {}, 0
         rare = np.flatnonzero(pc.match_substring_regex(texts, SPACE_BEFORE_SPACE).to_numpy(zero_copy_only=False))
-        cut = pc.split_pattern(pc.replace_substring_regex(texts, LINE_END, "\\1 \n"), " ")
+        cut = pc.replace_substring_regex(pc.replace_substring_regex(texts, LINE_END, "\\1 \n"), POINT, f"\\1 {BARE}\\2")
+        cut = pc.split_pattern(cut, " ")
         offsets = cut.offsets.to_numpy().astype(np.int64)
         values = cut.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets -= offsets[0]
