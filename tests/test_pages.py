@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from collatio.functions import html, pages
 
-GUNDAM = """<div class="cardNoCol"><span class="cardNo">GD01-001</span></div>
+TITLED = """<div class="cardNoCol"><span class="cardNo">XX01-001</span></div>
 <div class="cardDataRow side"><dl class="dataBox"><dt class="dataTit">Lv.</dt><dd class="dataTxt"> 4 </dd></dl><dl class="dataBox"><dt class="dataTit">COST</dt><dd class="dataTxt">3</dd></dl></div>
 <div class="cardDataRow overview"><div class="dataTxt">【Deploy】 Draw 1.<br>Then &lt;rest&gt;.<br></div></div>
 <div class="cardDataRow"><dl class="dataBox"><dt class="dataTit">Zone</dt><dd class="dataTxt">Space <b>Earth</b></dd></dl><dl class="dataBox"><dt class="dataTit">Trait</dt></dl><dl class="dataBox"><dd class="dataTxt">lost</dd></dl></div>"""
@@ -19,10 +19,10 @@ def texts(values):
 
 
 def test_boxes_with_titles():
-    page = pages.tree(GUNDAM)
+    page = pages.tree(TITLED)
     assert texts(pages.boxed_values(page, SIDE)) == {"Lv.": "4", "COST": "3"}
     assert texts(pages.boxed_values(page, REST)) == {"Zone": "SpaceEarth", "Trait": ""}
-    assert pages.first(page, ".cardNoCol .cardNo").text() == "GD01-001"
+    assert pages.first(page, ".cardNoCol .cardNo").text() == "XX01-001"
     assert pages.first(page, ".cardDataRow.overview .dataTxt").text() == "【Deploy】 Draw 1.\nThen <rest>."
 
 
@@ -76,7 +76,7 @@ def test_sections_by_style():
 
 
 def test_columns(spark):
-    df = spark.createDataFrame([(GUNDAM,), (None,), ("",), ("<p>" * 3000 + "deep",)], "h string")
+    df = spark.createDataFrame([(TITLED,), (None,), ("",), ("<p>" * 3000 + "deep",)], "h string")
     found = [r.b for r in df.select(pages.boxes(F.col("h"), SIDE, REST).alias("b")).collect()]
     assert {k: v.text for k, v in found[0].items()} == {"Lv.": "4", "COST": "3", "Zone": "SpaceEarth", "Trait": ""} and found[1:] == [None, {}, {}]
     assert df.select(pages.texts_of(F.col("h"), "dt.dataTit")).first()[0] == ["Lv.", "COST", "Zone", "Trait"]
