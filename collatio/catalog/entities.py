@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collatio.catalog.registry import query
-from collatio.operators import similarity
+from collatio.operators import filters, joins, similarity
 from collatio.plans import history, ingest, matching
+from collatio.plans.calls import Calls
 from collatio.sources import pages, versions
 from collatio.sources.edge import DictionaryTranslator
 from collatio.sources.readers import table
@@ -220,6 +221,19 @@ def watchlist(spark: SparkSession, d: str) -> DataFrame:
     return ingest.watchlist(expected, table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k")), "k", "card_count").select("k", "reason")
 
 
+@query(
+    "SELECT reason, count(*) AS n, CAST(sum(CAST(reason = 'not_scraped' AS INT)) AS BIGINT) AS retried FROM (SELECT CASE WHEN coalesce(n, 0) = 0 THEN 'not_scraped' WHEN expected > 0 AND n <> expected THEN 'card_count_mismatch' ELSE 'up_to_date' END AS reason "
+    "FROM (SELECT o_orderkey, CAST(o_custkey % 8 AS BIGINT) AS expected FROM orders) LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_linenumber > 1 GROUP BY 1) ON l_orderkey = o_orderkey) GROUP BY 1"
+)
+def reason_split(spark: SparkSession, d: str) -> DataFrame:
+    """FLT-18: what is to be tried again, and the rest, of a reconciliation."""
+    expected = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 8).alias("card_count"))
+    found = joins.reconciled(expected, table(spark, d, "lineitem").where("l_linenumber > 1").select(F.col("l_orderkey").alias("k")), "k")
+    again, rest = filters.split_by_reason(found, "reason", "not_scraped")
+    both = again.select("reason", F.lit(1).alias("again")).unionByName(rest.select("reason", F.lit(0).alias("again")))
+    return both.groupBy("reason").agg(F.count("*").alias("n"), F.sum("again").alias("retried"))
+
+
 def shared_path(spark: SparkSession) -> str:
     """A new folder that driver and executors share; a temporary one is for a session on one machine that names none."""
     from tempfile import mkdtemp
@@ -292,3 +306,24 @@ def paged_items(spark: SparkSession, d: str) -> DataFrame:
     for most in (15, 1_000_000):
         pages.run_to_end(pages.items(pages.chain(spark, folder, first="0", max_pages=most, per_batch=10), folder), f"{path}/checkpoint", f"{path}/out")
     return spark.read.parquet(f"{path}/out").select(F.col("page").cast("long").alias("page"), F.col("item").cast("long").alias("item"))
+
+
+class Strict:
+    """Answers in capitals, and fails on every batch that holds a name whose number ends in 77."""
+
+    def translate(self, texts: list[str]) -> list[str]:
+        if any(t.endswith("77") for t in texts):
+            raise ValueError("a name that can't be answered")
+        return [t.upper() for t in texts]
+
+
+@query("SELECT c_name AS original, CASE WHEN c_name LIKE '%77' THEN NULL ELSE upper(c_name) END AS written, CASE WHEN c_name LIKE '%77' THEN 'ValueError: a name that can''t be answered' END AS error FROM (SELECT DISTINCT c_name FROM customer WHERE trim(c_name) <> '')")
+def resumable_calls(spark: SparkSession, d: str) -> DataFrame:
+    """UDF-04, UDF-05, UDF-07: a first run over half of the names, then one over all: batches that fail are cut, what fails alone is told."""
+    calls = Calls(spark, shared_path(spark), wait=0.01)
+    names = table(spark, d, "customer").select(F.col("c_name").alias("original"), "c_custkey")
+    calls.plan(names.where("c_custkey % 2 = 0"))
+    calls.round(Strict())
+    calls.plan(names)
+    calls.run(Strict())
+    return calls.answers().select("original", "written", F.lit(None).cast("string").alias("error")).unionByName(calls.failed().select("original", F.lit(None).cast("string").alias("written"), "error"))

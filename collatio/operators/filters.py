@@ -69,3 +69,9 @@ def has_items(c: Column) -> Column:
 def discrepant(existing: Column, expected: Column) -> Column:
     """FLT-17: fewer than expected, or not there."""
     return existing.isNull() | (existing < expected)
+
+
+def split_by_reason(df: DataFrame, reason: str, wanted: str) -> tuple[DataFrame, DataFrame]:
+    """FLT-18: rows of the wanted reason, and all others; a row without a reason is one of the others."""
+    hit = F.coalesce(F.col(reason) == wanted, F.lit(False))
+    return df.where(hit), df.where(~hit)
