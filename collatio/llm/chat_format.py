@@ -1,6 +1,6 @@
 """Chat formatting by schema fingerprints, in DataFrame functions only.
 
-A record's nested field paths are hashed; the hash selects a declarative mapping that turns the record into canonical
+A record's nested field paths are hashed; the hashes select a declarative mapping that turns the record into canonical
 turns. The template writes a turn as `<|turn|>role\\ntext<|end|>`. Inside roles and texts `&`, `<` and `[`, and new
 lines in roles, are written as character references, so no text can hold a marker of this template, nor one of the usual bracketed or angled ones,
 and reading back undoes it exactly.
@@ -8,6 +8,7 @@ and reading back undoes it exactly.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,90 +26,136 @@ BLOCK = 256
 
 @dataclass(frozen=True)
 class Layout:
-    """How records with the paths of `example` become turns.
+    """How records that have all the paths of one of `examples` become turns; other paths that they have don't count.
 
-    turns_path names a list of messages with role_field and text_field; without it each (role, path) pair of `fields`
-    gives a turn, paths that share a role in a row being joined by a blank line, and empty ones left out.
+    Each (role, fields) pair of `turns` gives a turn of the fields' texts, joined by a blank line, empty ones left out; a
+    role that starts with $ is a field itself. Then come the turns of the list in the field `listed`, if any.
     """
 
     name: str
-    example: str
-    turns_path: str | None = None
+    examples: tuple[str, ...]
+    turns: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    listed: str | None = None
     role_field: str = "role"
     text_field: str = "content"
-    fields: tuple[tuple[str, str], ...] = ()
 
 
 #: What other tools call the three roles.
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant", "prompter": "user"}
 
+_SYSTEM = ("system", ("system",))
 LAYOUTS = (
-    Layout("turn", '{"role":"","text":""}', fields=(("$.role", "$.text"),)),
-    Layout("messages", '{"messages":[{"role":"","content":""}]}', "$.messages"),
-    Layout("conversations", '{"conversations":[{"from":"","value":""}]}', "$.conversations", "from", "value"),
-    Layout("prompt", '{"prompt":"","completion":""}', fields=(("user", "$.prompt"), ("assistant", "$.completion"))),
-    Layout("prompt_response", '{"prompt":"","response":""}', fields=(("user", "$.prompt"), ("assistant", "$.response"))),
-    Layout("question", '{"question":"","answer":""}', fields=(("user", "$.question"), ("assistant", "$.answer"))),
-    Layout("instruction", '{"instruction":"","output":""}', fields=(("user", "$.instruction"), ("assistant", "$.output"))),
-    Layout("instruction_input", '{"instruction":"","input":"","output":""}', fields=(("user", "$.instruction"), ("user", "$.input"), ("assistant", "$.output"))),
-    Layout("system_instruction", '{"system":"","instruction":"","output":""}', fields=(("system", "$.system"), ("user", "$.instruction"), ("assistant", "$.output"))),
+    Layout("turn", ('{"role":"","text":""}',), (("$role", ("text",)),)),
+    Layout("messages", ('{"messages":[{"role":"","content":""}]}', '{"messages":[]}'), listed="messages"),
+    Layout("system_messages", ('{"system":"","messages":[{"role":"","content":""}]}', '{"system":"","messages":[]}'), (_SYSTEM,), "messages"),
+    Layout("conversations", ('{"conversations":[{"from":"","value":""}]}', '{"conversations":[]}'), (), "conversations", "from", "value"),
+    Layout("system_conversations", ('{"system":"","conversations":[{"from":"","value":""}]}', '{"system":"","conversations":[]}'), (_SYSTEM,), "conversations", "from", "value"),
+    Layout("prompt", ('{"prompt":"","completion":""}',), (("user", ("prompt",)), ("assistant", ("completion",)))),
+    Layout("prompt_response", ('{"prompt":"","response":""}',), (("user", ("prompt",)), ("assistant", ("response",)))),
+    Layout("question", ('{"question":"","answer":""}',), (("user", ("question",)), ("assistant", ("answer",)))),
+    Layout("instruction", ('{"instruction":"","output":""}',), (("user", ("instruction",)), ("assistant", ("output",)))),
+    Layout("instruction_input", ('{"instruction":"","input":"","output":""}',), (("user", ("instruction", "input")), ("assistant", ("output",)))),
+    Layout("system_instruction", ('{"system":"","instruction":"","output":""}',), (_SYSTEM, ("user", ("instruction",)), ("assistant", ("output",)))),
+    Layout("system_instruction_input", ('{"system":"","instruction":"","input":"","output":""}',), (_SYSTEM, ("user", ("instruction", "input")), ("assistant", ("output",)))),
 )
 
 
-def fingerprint(record: Column) -> Column:
-    """Hash of a variant's nested field paths; types don't count, so a null or a number in a field changes nothing."""
-    paths = F.regexp_replace(F.schema_of_variant(record), r": (?!OBJECT<|ARRAY<)[A-Z]+(\([0-9,]+\))?", ":")
-    return F.xxhash64(F.regexp_replace(paths, r"ARRAY<(VOID|STRING|BIGINT|DOUBLE|BOOLEAN|VARIANT)>", "ARRAY<>"))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value being computed once: a plain column that others name often is written into each of them when a filter moves."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _text(record: Column, path: str) -> Column:
-    return F.coalesce(F.try_variant_get(record, path, "string"), F.lit(""))
+def _fields(value: Column) -> Column:
+    """An object's fields by name; null for anything else."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def _names(fields: Column) -> Column:
+    """Names of fields, special signs written so that no path has two readings."""
+    return F.transform(F.coalesce(F.map_keys(fields), F.array().cast("array<string>")), lambda n: F.regexp_replace(n, r"([\\\[.])", r"\\$1"))
+
+
+def paths(fields: Column) -> Column:
+    """Nested field paths of an object: `a`, and for lists `a[]` with `a[].b` for each field that all elements have, or `a[empty]`.
+
+    Values don't count, so a null or a number in a field changes nothing.
+    """
+    values = F.map_values(fields)
+
+    def of(name: Column, i: Column) -> Column:
+        items = F.try_variant_get(F.get(values, i), "$", "array<variant>")
+        names = F.transform(items, lambda x: _names(_fields(x)))
+        common = F.aggregate(names, F.get(names, F.lit(0)), F.array_intersect)
+        inside = F.transform(common, lambda k: F.concat(name, F.lit("[]."), k))
+        return F.when(items.isNull(), F.array(name)).when(F.size(items) == 0, F.array(name, F.concat(name, F.lit("[empty]")))).otherwise(F.concat(F.array(name, F.concat(name, F.lit("[]"))), inside))
+
+    return F.flatten(F.transform(_names(fields), of))
+
+
+def fingerprint(fields: Column) -> Column:
+    """Hashes of an object's nested field paths, each once, in order."""
+    return F.array_sort(F.array_distinct(F.transform(paths(fields), lambda p: F.xxhash64(p))))
+
+
+def _text(value: Column) -> Column:
+    """A variant's text; of a list of parts the texts of its strings and of the `text` fields of its objects, joined by a blank line."""
+    parts = F.try_variant_get(value, "$", "array<variant>")
+    texts = F.transform(parts, lambda x: F.when(_fields(x).isNotNull(), F.try_variant_get(x, "$.text", "string")).otherwise(F.try_variant_get(x, "$", "string")))
+    joined = F.array_join(F.filter(texts, lambda x: F.coalesce(x, F.lit("")) != ""), "\n\n")
+    return F.coalesce(F.when(parts.isNotNull(), joined).otherwise(F.try_variant_get(value, "$", "string")), F.lit(""))
 
 
 def _turn(role: Column, text: Column) -> Column:
     return F.struct(role.alias("role"), text.alias("text"))
 
 
-def _mapped(record: Column, layout: Layout) -> Column:
-    if layout.turns_path:
-        messages = F.try_variant_get(record, layout.turns_path, "array<variant>")
-        return F.transform(messages, lambda m: _turn(_text(m, f"$.{layout.role_field}"), _text(m, f"$.{layout.text_field}")))
-    by_role: list[tuple[str, list[str]]] = []
-    for role, path in layout.fields:
-        if by_role and by_role[-1][0] == role:
-            by_role[-1][1].append(path)
-        else:
-            by_role.append((role, [path]))
-    turns = [
-        _turn(
-            _text(record, role) if role.startswith("$") else F.lit(role),
-            _text(record, paths[0]) if len(paths) == 1 else F.array_join(F.filter(F.array(*[_text(record, p) for p in paths]), lambda x: x != ""), "\n\n"),
-        )
-        for role, paths in by_role
-    ]
-    return F.array(*turns)
+def _mapping(layout: Layout) -> Column:
+    """A layout's mapping as a value, so that one expression carries out whichever mapping a record has."""
+    turns = F.array(*[F.struct(F.lit(role).alias("role"), F.array(*map(F.lit, names)).alias("names")) for role, names in layout.turns]) if layout.turns else F.array()
+    listed = F.lit(layout.listed).cast("string").alias("listed"), F.lit(layout.role_field).alias("role_field"), F.lit(layout.text_field).alias("text_field")
+    return F.struct(F.lit(layout.name).alias("name"), turns.cast("array<struct<role:string,names:array<string>>>").alias("turns"), *listed)
+
+
+def _mapped(fields: Column, mapping: Column) -> Column:
+    def whole(turn: Column) -> Column:
+        texts = F.transform(turn["names"], lambda n: _text(F.try_element_at(fields, n)))
+        role = F.when(turn["role"].startswith("$"), _text(F.try_element_at(fields, F.substr(turn["role"], F.lit(2))))).otherwise(turn["role"])
+        return _turn(role, F.array_join(F.filter(texts, lambda x: x != ""), "\n\n"))
+
+    items = F.try_variant_get(F.try_element_at(fields, mapping["listed"]), "$", "array<variant>")
+    listed = F.transform(F.transform(items, _fields), lambda m: _turn(_text(F.try_element_at(m, mapping["role_field"])), _text(F.try_element_at(m, mapping["text_field"]))))
+    turns = F.concat(F.transform(mapping["turns"], whole), F.coalesce(listed, F.array().cast("array<struct<role:string,text:string>>")))
+    roles = F.create_map(*[F.lit(x) for pair in ROLE_NAMES.items() for x in pair])
+    return F.transform(turns, lambda t: _turn(F.coalesce(roles[t["role"]], t["role"]), t["text"]))
 
 
 def canonical_turns(records: DataFrame, record: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """records with `layout` and `turns` (array of role and text) in place of their variant column.
 
-    A record whose fingerprint no layout has keeps layout and turns null: nothing is guessed and no row is lost.
-    Null roles and texts read as empty; a null record matches no layout. Columns of records that are called layout or
-    turns give way to the new ones; all others stay.
+    The hashes of a record's paths select the layout: one of whose examples it has all paths; where several fit, the one
+    whose example has the most, then the first. So further fields (ids, weights) change nothing, and a list whose elements
+    differ fits only by what all of them have. A record that no layout fits keeps layout and turns null: nothing is guessed
+    and no row is lost. Null roles and texts read as empty, an empty list gives no turns, parts without text (images) are
+    left out; a null record fits no layout. Columns of records that are called layout or turns give way to the new ones;
+    all others stay.
     """
-    spark = records.sparkSession
     records = records.drop(*({"layout", "turns"} - {record}))
-    (printed,) = unused(records, "print")
-    examples = spark.range(1).select(*[fingerprint(F.parse_json(F.lit(x.example))).alias(str(i)) for i, x in enumerate(layouts)]).first()
-    chosen = name = None
-    roles = F.create_map(*[F.lit(x) for pair in ROLE_NAMES.items() for x in pair])
-    for i, layout in enumerate(layouts):
-        hit = F.col(printed) == F.lit(examples[i])
-        turns = F.transform(_mapped(F.col(record), layout), lambda t: _turn(F.coalesce(roles[t["role"]], t["role"]), t["text"]))
-        chosen = F.when(hit, turns) if chosen is None else chosen.when(hit, turns)
-        name = F.when(hit, F.lit(layout.name)) if name is None else name.when(hit, F.lit(layout.name))
-    rest = [c for c in records.columns if c != record]
-    return records.withColumn(printed, fingerprint(F.col(record))).select(*rest, name.alias("layout"), chosen.alias("turns"))
+    (both,) = unused(records, "both")
+    shapes = [(layout, example) for layout in layouts for example in layout.examples]
+    prints = records.sparkSession.range(1).select(*[fingerprint(_fields(F.parse_json(F.lit(e)))).alias(str(i)) for i, (_, e) in enumerate(shapes)]).first()
+    ranked = sorted(zip(shapes, prints, strict=True), key=lambda x: -len(x[1]))
+
+    def chosen(printed: Column) -> Column:
+        found = F
+        for (layout, _), wanted in ranked:
+            found = found.when(F.size(F.array_except(F.array(*map(F.lit, wanted)), printed)) == 0, _mapping(layout))
+        return found
+
+    def mapped(fields: Column) -> Column:
+        return _let(_let(fingerprint(fields), chosen), lambda m: F.struct(m["name"].alias("layout"), F.when(m.isNotNull(), _mapped(fields, m)).alias("turns")))
+
+    found = records.withColumn(both, _let(_fields(F.col(record)), mapped))
+    return found.select(*[c for c in records.columns if c != record], F.col(both)["layout"].alias("layout"), F.col(both)["turns"].alias("turns"))
 
 
 def escape(text: Column, escapes: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
@@ -158,7 +205,8 @@ def format_turn_rows(rows: DataFrame, conv: str = "conv_id", turn: str = "turn",
         F.coalesce(F.col(turn).cast("long"), F.lit(-(2**62))).alias("turn"),
         F.to_variant_object(F.struct(F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))).alias("record"),
     )
-    turns = canonical_turns(source, "record").select("conv_id", "turn", F.explode("turns").alias("t"))
+    # Each record is one turn. The outer form spares the filter that Spark puts below the plain one, which would map every record twice.
+    turns = canonical_turns(source, "record").select("conv_id", "turn", F.explode_outer("turns").alias("t"))
     blocks = turns.groupBy("conv_id", F.floor(F.col("turn") / BLOCK).alias("block")).agg(F.array_sort(F.collect_list(F.struct("turn", "t.role", "t.text"))).alias("turns"))
     formatted, mask = render(F.col("turns"))
     return blocks.select("conv_id", "block", formatted.alias("formatted"), mask.alias("loss_mask"), F.size("turns").cast("long").alias("n_turns"))

@@ -57,6 +57,30 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_turn_rows(rows))
 
 
+def chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of `conversations` as records of eight layouts, with ids beside them, as parts and as empty lists, read as canonical turns."""
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    kind = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(8))
+    one = F.array(F.struct(role.alias("role"), text.alias("content"), F.col("turn").alias("weight")))
+    parts = F.array(F.struct(role.alias("role"), F.array(F.struct(F.lit("text").alias("type"), text.alias("text")), F.struct(F.lit("image").alias("type"), F.lit("").alias("text"))).alias("content")))
+    shapes = (
+        F.struct(role.alias("role"), text.alias("text"), F.col("conv_id").alias("id")),
+        F.struct(one.alias("messages"), F.col("conv_id").alias("id")),
+        F.struct(parts.alias("messages")),
+        F.struct(F.array(F.struct(role.alias("from"), text.alias("value"))).alias("conversations"), F.lit("s").alias("system")),
+        F.struct(text.alias("prompt"), role.alias("completion"), F.lit(1).alias("n")),
+        F.struct(text.alias("instruction"), role.alias("input"), F.lit("o").alias("output")),
+        F.struct(F.slice(one, 1, 0).alias("messages")),
+        F.struct(text.alias("body"), role.alias("by")),
+    )
+    made = None
+    for i, shape in enumerate(shapes):
+        made = F.when(kind == i, F.to_variant_object(shape)) if made is None else made.when(kind == i, F.to_variant_object(shape))
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", made.alias("record"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chat_format.canonical_turns(rows, "record").select("conv_id", "turn", "layout", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"))
+
+
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -85,7 +109,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_html_extract, op2_exact_dedup, op3_quality, op4_near_dedup, op5_license_scan, op6_language_id, op7_decontaminate, op8_chat_format, op9_pack, op10_line_dedup, op11_filter_audit, op12_fill_middle, op13_sentencepiece)
+    found = (op1_html_extract, op2_exact_dedup, op3_quality, op4_near_dedup, op5_license_scan, op6_language_id, op7_decontaminate, op8_chat_format, op9_pack, op10_line_dedup, op11_filter_audit, op12_fill_middle, op13_sentencepiece, chat_layouts)
     return {f.__name__: f for f in found}
 
 
@@ -121,6 +145,18 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM w GROUP BY conv_id
 """
 
+CHAT_LAYOUTS_SQL = """
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, ((conv_id + turn) % 8 + 8) % 8 AS kind FROM conversations),
+n AS (SELECT *, CASE WHEN role IN ('human', 'prompter') THEN 'user' WHEN role IN ('gpt', 'bot', 'model', 'ai') THEN 'assistant' ELSE role END AS named FROM c)
+SELECT conv_id, turn, ['turn', 'messages', 'messages', 'system_conversations', 'prompt', 'instruction_input', 'messages', NULL][kind + 1] AS layout,
+       CAST(CASE WHEN kind IN (0, 1, 2) THEN 1 WHEN kind IN (3, 4, 5) THEN 2 WHEN kind = 6 THEN 0 END AS BIGINT) AS n_turns,
+       CASE WHEN kind IN (0, 1, 2) THEN sha256(named || chr(10) || text || chr(10))
+            WHEN kind = 3 THEN sha256('system' || chr(10) || 's' || chr(10) || named || chr(10) || text || chr(10))
+            WHEN kind = 4 THEN sha256('user' || chr(10) || text || chr(10) || 'assistant' || chr(10) || role || chr(10))
+            WHEN kind = 5 THEN sha256('user' || chr(10) || text || CASE WHEN text <> '' AND role <> '' THEN chr(10) || chr(10) ELSE '' END || role || chr(10) || 'assistant' || chr(10) || 'o' || chr(10))
+            WHEN kind = 6 THEN sha256('') END AS turns_sha256
+FROM n
+"""
 
 OP11_SQL = r"""
 WITH docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -155,4 +191,4 @@ FROM parts
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op7_decontaminate": OP7_SQL, "op8_chat_format": OP8_SQL, "op11_filter_audit": OP11_SQL, "op12_fill_middle": OP12_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op7_decontaminate": OP7_SQL, "op8_chat_format": OP8_SQL, "chat_layouts": CHAT_LAYOUTS_SQL, "op11_filter_audit": OP11_SQL, "op12_fill_middle": OP12_SQL}

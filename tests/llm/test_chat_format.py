@@ -36,6 +36,20 @@ def test_layouts(spark):
         '{"output":"o","instruction":"i","input":"x"}': ("instruction_input", [("user", "i\n\nx"), ("assistant", "o")]),
         '{"question":"q","answer":7}': ("question", [("user", "q"), ("assistant", "7")]),
         '{"something":"else"}': (None, None),
+        # Fields beside those of the layout, lists of parts, empty lists, a system text in front.
+        '{"id":7,"weight":0.5,"prompt":"p","response":"r"}': ("prompt_response", [("user", "p"), ("assistant", "r")]),
+        '{"id":"x","messages":[{"role":"user","content":"q","name":"n"},{"role":"assistant","content":"a","weight":0}]}': ("messages", [("user", "q"), ("assistant", "a")]),
+        '{"messages":[],"id":1}': ("messages", []),
+        '{"system":"s","messages":[{"role":"user","content":[{"type":"text","text":"a"},{"type":"image","url":"u"},"b",{"type":"text","text":null}]}]}': ("system_messages", [("system", "s"), ("user", "a\n\nb")]),
+        '{"system":"s","conversations":[]}': ("system_conversations", [("system", "s")]),
+        '{"system":"s","instruction":"i","input":"x","output":"o"}': ("system_instruction_input", [("system", "s"), ("user", "i\n\nx"), ("assistant", "o")]),
+        # Elements that differ would lose a text, so nothing fits; nor does a name that looks like a path.
+        '{"messages":[{"role":"user","content":"q"},{"role":"assistant","text":"a"}]}': (None, None),
+        '{"messages":[1],"messages[].role":"","messages[].content":""}': (None, None),
+        '{"messages":null}': (None, None),
+        '{"messages":["q"]}': (None, None),
+        "[1]": (None, None),
+        "null": (None, None),
     }
     data = spark.createDataFrame([(k,) for k in records], "raw string").withColumn("record", F.parse_json("raw"))
     for r in chat.canonical_turns(data, "record").collect():
