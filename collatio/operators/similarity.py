@@ -25,7 +25,7 @@ KNOWN_TOKENS = 4096
 SMALL_BLOCK = 256
 #: Cells of the table of bit masks of a batch: left keys by characters.
 CELLS = 2_000_000
-#: Left rows whose best ratio so far a task remembers.
+#: Left rows whose best ratio so far, and pairs of keys whose ratio, a task remembers.
 REMEMBERED = 100_000
 
 
@@ -71,17 +71,31 @@ def candidates(left: DataFrame, right: DataFrame, at_least: float, blocks: list[
     """
     if not 0 < at_least <= 1:
         raise ValueError("at_least must lie above 0 and be 1 at most")
+    a, b, on = _blocked(left, right, blocks, contains)
+    return _candidates(a, b, on, at_least).drop(*on)
+
+
+def _blocked(left: DataFrame, right: DataFrame, blocks: list[str] | None, contains: tuple[str, str] | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides as (id, ord, key, b0, b1, ...), where rows may pair if all b are equal, and the names of these columns."""
     on = [f"b{i}" for i in range(len(blocks or []) + bool(contains))]
     a, b = (side.where("coalesce(key, '') <> ''").withColumns({f"b{i}": F.col(c) for i, c in enumerate(blocks or [])}) for side in (left, right))
     if contains:
         a, b = a.withColumn(on[-1], F.col(contains[0])), b.withColumn(on[-1], F.explode(F.array_distinct(contains[1])))
+    return a.select("id", "ord", "key", *on), b.select("id", "ord", "key", *on), on
+
+
+def _candidates(a: DataFrame, b: DataFrame, on: list[str], at_least: float) -> DataFrame:
+    """`candidates` of both sides as `_blocked` gives them, with the columns `on`.
+
+    All joins are merged: rows grow by their tokens, which the planner's sizes don't know, so it would broadcast them.
+    """
     order = token_order(a.select("key").unionByName(b.select("key")))
-    a, b = ((side.select("id", "ord", "key", *on).withColumn("tokens", tokens(F.col("key"), order))) for side in (a, b))
     if on:
         sizes = b.groupBy(on).agg((F.count("*") > SMALL_BLOCK).alias("indexed"))
-        a, b = a.join(sizes, on), b.join(sizes, on)
+        a, b = a.join(sizes.hint("merge"), on), b.join(sizes.hint("merge"), on)
     else:
         a, b = a.withColumn("indexed", F.lit(True)), b.withColumn("indexed", F.lit(True))
+    a, b = ((side.withColumn("tokens", tokens(F.col("key"), order))) for side in (a, b))
 
     def by_token(side: DataFrame, name: str) -> DataFrame:
         n = F.size("tokens")
@@ -89,13 +103,13 @@ def candidates(left: DataFrame, right: DataFrame, at_least: float, blocks: list[
         met = met.withColumn("t", F.explode(F.when(F.col("indexed"), F.col("prefix")).otherwise(F.array(F.lit(-1).cast("long")))))
         return met.select(*on, "t", *[F.col(c).alias(f"{name}_{c}") for c in ("id", "ord", "key", "n", "tokens", "prefix")], *(["indexed"] if name == "l" else []))
 
-    met = by_token(a, "l").join(by_token(b, "r"), [*on, "t"])
+    met = by_token(a, "l").join(by_token(b, "r").hint("merge"), [*on, "t"])
     total = F.col("l_n") + F.col("r_n")
     met = met.where(2.0 * F.least("l_n", "r_n") / total >= at_least)
     # A pair counts at the first token that both prefixes hold.
     met = met.where(~F.col("indexed") | (F.try_element_at(F.array_intersect("l_prefix", "r_prefix"), F.lit(1)) == F.col("t")))
     bound = 2.0 * F.size(F.array_intersect("l_tokens", "r_tokens")) / total
-    return met.withColumn("bound", bound).where(F.col("bound") >= at_least).select("l_id", "l_ord", "l_key", "r_id", "r_ord", "r_key", "bound")
+    return met.withColumn("bound", bound).where(F.col("bound") >= at_least).select(*on, "l_id", "l_ord", "l_key", "r_id", "r_ord", "r_key", "bound")
 
 
 def subsequence_bounds(left: list[str], right: list[str], bounds: np.ndarray) -> np.ndarray:
@@ -137,32 +151,38 @@ def subsequence_bounds(left: list[str], right: list[str], bounds: np.ndarray) ->
 
 
 def scored(pairs: DataFrame, at_least: float, junk: bool = False) -> DataFrame:
-    """pairs (of `candidates`) with their ratio where it is at_least or more and where it may be the best of its left row.
+    """pairs (of `candidates`) with their left key and ratio where it is at_least or more and where it may be the best of its left row.
 
     Pairs that cannot be the best of their left row are left out, those that tie with it never. Any split of the pairs
     over tasks is right: the rows that are left hold the best of every left row.
     """
-    schema = StructType([f for f in pairs.schema if f.name in ("l_id", "l_ord", "r_id", "r_ord")] + [StructField("ratio", DoubleType())])
+    schema = StructType([f for f in pairs.schema if f.name not in ("r_key", "bound")] + [StructField("ratio", DoubleType())])
     names = [f.name for f in schema]
+    # What a left row is told by: its id, its key and its block.
+    told = [c for c in names[:-1] if c not in ("l_ord", "r_id", "r_ord")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple, float] = {}
+        known: dict[tuple[str, str], float] = {}
         for batch in batches:
-            if len(best) > REMEMBERED:
-                best.clear()
+            for memory in (best, known):
+                if len(memory) > REMEMBERED:
+                    memory.clear()
             left, right = batch.column("l_key").to_pylist(), batch.column("r_key").to_pylist()
             bounds = subsequence_bounds(left, right, batch.column("bound").to_numpy())
-            ids = batch.column("l_id").to_pylist()
+            whose = [[repr(x) if isinstance(x, list | dict) else x for x in batch.column(c).to_pylist()] for c in told]
             found: dict[int, float] = {}
             matcher = SequenceMatcher(None, autojunk=junk)
             for i in np.argsort(-bounds, kind="stable").tolist():
                 if bounds[i] < at_least:
                     break
-                row = ids[i], left[i]
+                row = tuple(c[i] for c in whose)
                 if bounds[i] < best.get(row, 0.0):
                     continue
-                matcher.set_seqs(left[i], right[i])
-                ratio = matcher.ratio()
+                pair = left[i], right[i]
+                if (ratio := known.get(pair)) is None:
+                    matcher.set_seqs(*pair)
+                    ratio = known[pair] = matcher.ratio()
                 if ratio >= at_least and ratio >= best.get(row, 0.0):
                     best[row] = found[i] = ratio
             at = pa.array(list(found), pa.int64())
@@ -176,6 +196,13 @@ def best_matches(left: DataFrame, right: DataFrame, at_least: float, blocks: lis
 
     Ties go to the first row of left by ord, then to the first of right. Ids without such a row are left out.
     """
-    rows = scored(candidates(left, right, at_least, blocks, contains), at_least, junk)
-    best = rows.groupBy("l_id").agg(F.max_by(F.struct("r_id", "ratio"), F.struct("ratio", (-F.col("l_ord")).alias("a"), (-F.col("r_ord")).alias("b"))).alias("best"))
-    return best.select("l_id", "best.r_id", F.bround("best.ratio", 3).alias("similarity"))
+    a, b, on = _blocked(left, right, blocks, contains)
+    # Rows with the same key in the same block have the same best row, and of equal ones on the right the first is it: keys
+    # pair once a block, however many rows have them.
+    lefts = a.groupBy(*on, "key").agg(F.lit(0).alias("id"), F.lit(0).alias("ord"))
+    rights = b.groupBy(*on, "key").agg(F.max_by(F.struct("id", "ord"), F.struct((-F.col("ord")).alias("a"), "id")).alias("first")).select("first.id", "first.ord", "key", *on)
+    rows = scored(_candidates(lefts, rights, on, at_least), at_least, junk)
+    best = rows.groupBy(*on, F.col("l_key").alias("key")).agg(F.max_by(F.struct("r_id", "r_ord", "ratio"), F.struct("ratio", (-F.col("r_ord")).alias("b"))).alias("best"))
+    found = a.join(best.hint("merge"), [*on, "key"]).select(F.col("id").alias("l_id"), "ord", "best.*")
+    ids = found.groupBy("l_id").agg(F.max_by(F.struct("r_id", "ratio"), F.struct("ratio", (-F.col("ord")).alias("a"), (-F.col("r_ord")).alias("b"))).alias("best"))
+    return ids.select("l_id", "best.r_id", F.bround("best.ratio", 3).alias("similarity"))

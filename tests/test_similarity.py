@@ -122,3 +122,24 @@ def test_empty_tables_and_thresholds(spark):
     assert found(similarity.best_matches(one, one, 1.0)) == {1: (1, 1.0)}
     with pytest.raises(ValueError, match="at_least"):
         similarity.candidates(one, one, 0)
+
+
+def test_equal_keys_pair_once_a_block(spark, monkeypatch):
+    """Copies on both sides are found by the row that stands for them, through no broadcast of rows that grow by their tokens."""
+    left = [(i, (5 * i) % 600, f"name {i % 3}", i % 2, [0, 1]) for i in range(600)] + [(1, -1, "name 2", 1, []), (None, 0, "name 1", 0, [])]
+    right = [(i, -i, f"nome {i % 3}", i % 2, [i % 2, i % 2]) for i in range(600)]
+    a, b = spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA)
+    pairs = []
+    whole = similarity.scored
+
+    def counted(met, *rest):
+        pairs.append(met.count())
+        assert "BroadcastHashJoin" not in met._jdf.queryExecution().executedPlan().toString()
+        return whole(met, *rest)
+
+    monkeypatch.setattr(similarity, "scored", counted)
+    same = lambda x, y: x[3] == y[3]
+    assert found(similarity.best_matches(a, b, 0.5, ["block"])) == nested_loop(left, right, 0.5, same)
+    held = lambda x, y: x[3] in y[4]
+    assert found(similarity.best_matches(a, b, 0.5, contains=("block", "list"))) == nested_loop(left, right, 0.5, held)
+    assert pairs == [18, 18]
