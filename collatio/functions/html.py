@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType
 
 from collatio.functions import pages, text
 
@@ -29,10 +28,9 @@ def card_form(n_details: Column, n_images: Column) -> Column:
     return F.when((n_details > 1) & (n_images == n_details), "awaken").when((n_details == 2) & (n_images == 1), "twinpact").otherwise("single")
 
 
-@F.pandas_udf(MapType(StringType(), StringType()))
-def labelled(html: pd.Series) -> pd.Series:
+def labelled(html: str | Column) -> Column:
     """HTM-01: label -> value of table rows and definition lists."""
-    return html.map(lambda h: None if h is None else pages.label_rows(h))
+    return pages.of_pages(lambda h: list(pages.label_rows(h).items()), pa.map_(pa.string(), pa.string()))(html)
 
 
 sections = pages.sections

@@ -93,3 +93,25 @@ def test_any_nesting_keeps_its_text(pieces):
     for x in page.elements():
         assert any(c is x for c in x.parent.children)
     pages.label_rows("".join(pieces))
+
+
+PIECES = ["<div>", "</div>", "<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "<li>", "<ul>", "</ul>", "<br>", "<BR />", "<p class='x y'>", "</P>", "a", "b &amp; c", "&lt", "x > y", "\n", "<img alt=c>", '<img alt="&quot;q" src=\'/x\'/>', "<div/>", "<dt>", "<dd>", "</dl>", "<!-- c -->", "<script>x<b></script>", "<title>t</title>", "<a href=x/>", "< b", "<p\x0bq>", "</p >"]
+
+
+def shape(element):
+    return element.tag, element.attrs, [x if isinstance(x, str) else shape(x) for x in element.children]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=30))
+def test_remembered_tags_give_the_trees_of_the_parser(pieces):
+    assert shape(pages.tree("".join(pieces))) == shape(pages._read("".join(pieces)).root)
+
+
+def test_plain_pages_need_no_parser(monkeypatch):
+    """A tag is parsed once a worker, not once a page."""
+    assert len(pages.header_sections(WIKI, NAMES, "table.wikitable")) == 2
+    pages.boxed_values(pages.tree(TITLED), SIDE)
+    monkeypatch.setattr(pages, "_read", None)
+    assert len(pages.header_sections(WIKI.replace("Fire", "Water"), NAMES, "table.wikitable")) == 2
+    assert texts(pages.boxed_values(pages.tree(TITLED.replace("Lv.", "Level")), SIDE)) == {"Level": "4", "COST": "3"}
