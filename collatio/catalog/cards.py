@@ -239,7 +239,8 @@ def card_pages(spark: SparkSession, d: str) -> DataFrame:
     name, brand, size, typ, key = _part()
     details, images = F.when(size % 3 == 2, 1).otherwise(2), F.when(size % 3 == 0, 2).otherwise(1)
     found = html.sections(_said("<table><tr><th>", name, "</th></tr><tr><td>Race:</td><td>", brand, "</td></tr></table>"), ("Race",))[0]
-    return table(spark, d, "part").select("p_partkey", html.card_form(details, images).alias("form"), found["name"].alias("section"), found["Race"].alias("race"))
+    parts = readers.spread(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size"), "p_partkey")
+    return parts.select("p_partkey", html.card_form(details, images).alias("form"), found["name"].alias("section"), found["Race"].alias("race"))
 
 
 @query("SELECT p_partkey, pos, p_brand AS rarity, 'UA' || p_size AS booster, 'C-' || pos AS card_id, p_name AS card_name, 1000 + p_size AS price, CASE WHEN pos = 0 THEN 20 ELSE p_size END AS stock FROM part, (VALUES (0), (1)) v(pos)")
@@ -251,7 +252,8 @@ def shop_pages(spark: SparkSession, d: str) -> DataFrame:
         return _said('<div class="card-product"><span class="d-block border border-dark">UA', size, f'/C-{pos}</span><a href="/p"><h4>', name, '</h4></a><strong class="text-end">1,0', F.lpad(size.cast("string"), 2, "0"), ' 円</strong><label class="zaiko">', stock, "</label></div>")
 
     page = _said('<div class="cards-list"><h3><span>', brand, "</span></h3>", card(0, "◯"), card(1, _said("残り", size, "点")), "</div>")
-    return table(spark, d, "part").select("p_partkey", F.posexplode(html.shop_rows(page)).alias("pos", "c")).select("p_partkey", "pos", "c.rarity", "c.booster", "c.card_id", "c.card_name", "c.price", "c.stock")
+    parts = readers.spread(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size"), "p_partkey")
+    return parts.select("p_partkey", F.posexplode(html.shop_rows(page)).alias("pos", "c")).select("p_partkey", "pos", "c.rarity", "c.booster", "c.card_id", "c.card_name", "c.price", "c.stock")
 
 
 @query("SELECT p_partkey, CASE WHEN p_brand = 'Brand#1' THEN 'First' ELSE p_brand END || ',' || CASE WHEN p_type = 'ECONOMY' THEN 'Cheap' ELSE p_type END AS kinds, p_brand || ',' || p_type AS was, p_name AS names FROM part")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from collatio.catalog.registry import query
 from collatio.functions import html, pages, scalars, terms, text, udfs
-from collatio.sources.readers import table
+from collatio.sources.readers import spread, table
 
 
 @query(r"SELECT p_partkey, regexp_replace(p_name || ' (' || p_brand || ') (DM' || p_size || ')', '(\s*\([^)]*\))+\s*$', '') AS bare, regexp_replace(p_name || ' (' || p_brand || ') (DM' || p_size || ')', '\s*\([^)]*\)\s*$', '') AS one_less FROM part")
@@ -199,7 +199,7 @@ def icon_decode(spark: SparkSession, d: str) -> DataFrame:
 def label_pairs(spark: SparkSession, d: str) -> DataFrame:
     page = F.concat(F.lit("<table><tr><th>Name</th><td>"), "p_name", F.lit("</td><th>Size</th><td>"), F.col("p_size").cast("string"), F.lit("</td></tr></table>"))
     found = html.labelled(page)
-    return table(spark, d, "part").select("p_partkey", found["Name"].alias("name"), found["Size"].alias("size"))
+    return spread(table(spark, d, "part").select("p_partkey", "p_name", "p_size"), "p_partkey").select("p_partkey", found["Name"].alias("name"), found["Size"].alias("size"))
 
 
 @query("SELECT page_id, nullif(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '') AS title FROM pages")

@@ -15,6 +15,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by their keys over all cores: a file of narrow rows is one split however many it has, so what is slow a row would be one task's."""
+    session = df.sparkSession
+    return df.repartition(max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def columns_of(df: DataFrame, *names: str) -> DataFrame:
     """SRC-02: a projected scan; only these columns are read."""
     return df.select(*names)

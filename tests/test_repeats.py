@@ -1,6 +1,7 @@
 """Catalogue queries over tables whose values repeat, as those of larger data sets do."""
 
 import duckdb
+import pytest
 
 from collatio.catalog.registry import QUERIES, SQL
 
@@ -11,3 +12,9 @@ def test_pages_of_one_url_are_assets_of_their_own(spark, tmp_path):
     got = QUERIES["manifest_increment"](spark, str(tmp_path))
     want = duckdb.sql(SQL["manifest_increment"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")).fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want) and got.columns == ["url", "size", "added"]
+
+
+@pytest.mark.parametrize("name", ["label_pairs", "card_pages", "shop_pages"])
+def test_one_split_of_parts_is_dealt_over_the_cores(spark, name):
+    """Parts are one row group and so one task's work as they are read."""
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
