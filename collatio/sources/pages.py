@@ -3,7 +3,8 @@
 Pages are landed as JSON files of a folder that driver and executors share: {"items": [...], "next": name or null}; pages
 without "next" are numbers that count up. The offset is where the chain stands, so a stream that is stopped goes on
 there (also behind a max_pages that has been raised), and one that has come to the chain's end has no more data. The driver looks at one page after the other, for
-what comes next; the items are read by tasks (`items`).
+what comes next; the items are read by tasks (`items`). A batch has per_batch pages, or as many as were read before it, so a
+chain of any length takes few of them; the names behind it, which tell where it comes back, are in the driver's memory and not in the offset.
 """
 
 from __future__ import annotations
@@ -16,20 +17,39 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
+from collatio.sources.readers import spread
 from collatio.sources.versions import folder_of
 
-#: Pages of a chain of links whose names the offset holds, to see where it comes back to; a longer one is an error.
-LONGEST = 20_000
-
 
 class ChainReader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict):
         self.folder, self.first = folder_of(options["folder"]), options.get("first", "1")
         self.empty_pages, self.max_pages = int(options.get("empty_pages", 2)), int(options["max_pages"]) if "max_pages" in options else None
         self.per_batch = int(options.get("per_batch", 50))
+        self.behind: list[str] = []
+        self.known: set[str] = set()
 
     def initialOffset(self) -> dict:
-        return {"at": self.first, "empty": 0, "read": 0, "seen": []}
+        return {"at": self.first, "empty": 0, "read": 0}
+
+    def recall(self, start: dict) -> None:
+        """Make the names behind an offset those known: a stream that goes on walks them once more, one that runs has them."""
+        if len(self.behind) > start["read"]:
+            self.known.difference_update(self.behind[start["read"] :])
+            del self.behind[start["read"] :]
+        while len(self.behind) < start["read"]:
+            at = self.following(self.behind[-1], self.page(self.behind[-1])) if self.behind else self.first
+            if at is None:  # a page that has been taken away since hides those in front of the offset
+                self.behind += [""] * (start["read"] - len(self.behind))
+                return
+            self.behind.append(at)
+            self.known.add(at)
+
+    def following(self, at: str, found: dict | None) -> str | None:
+        """The name that a page leads to, if any."""
+        if found is not None and "next" in found:
+            return found["next"]
+        return None if found is None and not at.isdigit() else str(int(at) + 1)
 
     def page(self, name: str) -> dict | None:
         path = f"{self.folder}/{name}.json"
@@ -40,7 +60,8 @@ class ChainReader(SimpleDataSourceStreamReader):
 
     def walk(self, start: dict, pages: int) -> tuple[list[tuple], dict]:
         """Up to so many pages from an offset on, and the offset behind them. A page that isn't there ends a chain of links and is an empty one among numbers."""
-        at, empty, n, seen = start["at"], start["empty"], start["read"], list(start["seen"])
+        self.recall(start)
+        at, empty, n = start["at"], start["empty"], start["read"]
         out: list[tuple] = []
         while at is not None and len(out) < pages and (self.max_pages is None or n < self.max_pages):
             found = self.page(at)
@@ -51,19 +72,15 @@ class ChainReader(SimpleDataSourceStreamReader):
             items = found["items"] if found else []
             out.append((at, len(items)))
             n, empty = n + 1, 0 if items else empty + 1
-            if linked:
-                seen.append(at)
-                if len(seen) > LONGEST:
-                    raise ValueError(f"the chain from {self.first} has over {LONGEST} pages; land them under numbers")
-                at = None if found["next"] in seen else found["next"]
-            else:
-                at = str(int(at) + 1)
-            if empty >= self.empty_pages:
+            self.behind.append(at)
+            self.known.add(at)
+            at = self.following(at, found)
+            if empty >= self.empty_pages or linked and at in self.known:
                 at = None
-        return out, {"at": at, "empty": empty, "read": n, "seen": seen if at is not None else []}
+        return out, {"at": at, "empty": empty, "read": n}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        out, end = self.walk(start, self.per_batch)
+        out, end = self.walk(start, max(self.per_batch, start["read"]))
         return iter(out), end if out else start
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
@@ -104,7 +121,8 @@ def items(pages: DataFrame, folder: str) -> DataFrame:
                     if found:
                         yield pd.DataFrame({"page": name, "pos": range(len(found)), "item": [json.dumps(x, ensure_ascii=False, sort_keys=True) for x in found]})
 
-    return pages.mapInPandas(read, "page string, pos int, item string")
+    # A batch of the chain is one split, so its pages are dealt out.
+    return spread(pages, "page").mapInPandas(read, "page string, pos int, item string")
 
 
 def land(listed: DataFrame, folder: str) -> None:

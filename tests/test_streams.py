@@ -96,3 +96,22 @@ def test_linked_pages_end_where_they_come_back(spark, tmp_path):
     assert [x[2] for x in read(spark, tmp_path / "3", folder, first="to")] == ["to"]
     pages.run_to_end(pages.chain(spark, str(folder), first="none"), f"{tmp_path}/4/checkpoint", f"{tmp_path}/4/out")
     assert spark.read.schema("page string").parquet(f"{tmp_path}/4/out").where(F.col("page").isNotNull()).count() == 0
+
+
+def test_long_chains_take_few_batches(spark, tmp_path):
+    """Batches grow, the offset doesn't, and a stream that goes on still knows where the chain comes back."""
+    folder = tmp_path / "pages"
+    for n in range(200):
+        land(folder, f"p{n}", {"items": [n], "next": f"p{n + 1}" if n < 199 else "p3"})
+    assert len(read(spark, tmp_path, folder, first="p0", per_batch=4, max_pages=20)) == 20
+    assert [x[2] for x in sorted(read(spark, tmp_path, folder, first="p0", per_batch=4), key=lambda x: x[2])] == list(range(200))
+    offsets = sorted((tmp_path / "checkpoint" / "offsets").glob("[0-9]*"), key=lambda p: int(p.name))
+    assert len(offsets) < 12 and all(p.stat().st_size < 2000 for p in offsets)
+
+
+def test_a_chain_goes_on_behind_pages_that_are_gone(tmp_path):
+    for name, following in {"a": "b", "b": "c", "c": "d", "d": None}.items():
+        land(tmp_path / "pages", name, {"items": [1], "next": following})
+    (tmp_path / "pages" / "a.json").unlink()
+    reader = pages.ChainReader({"folder": str(tmp_path / "pages"), "first": "a"})
+    assert reader.walk({"at": "c", "empty": 0, "read": 2}, 9) == ([("c", 1), ("d", 1)], {"at": None, "empty": 0, "read": 4})
