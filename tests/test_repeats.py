@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+import __spark_entry__  # noqa: F401 (its import registers the queries)
 from collatio.catalog.registry import QUERIES, SQL
 
 
