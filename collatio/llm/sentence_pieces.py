@@ -4,18 +4,21 @@ Taking away the last token of an encoded text leaves the encoding of the rest, s
 token. It is the one piece that ends there (an automaton of all pieces finds them) and that goes together with the last
 token of the prefix in front of it: two tokens go together if merging their characters alone gives these two again.
 The table of last tokens is filled from left to right, in time linear in the text whatever the merges, and read from
-the end. Units between blanks and line ends are encoded once and remembered.
+the end. Units between blanks and line ends are encoded once and remembered; new ones fill their tables side by side,
+prefix by prefix.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
+from itertools import count
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
@@ -35,6 +38,10 @@ REMEMBERED = 500_000
 REMEMBERED_PAIRS = 1_000_000
 #: Characters of units up to which they are remembered: longer ones hardly come again.
 LONG_UNIT = 64
+#: New units whose prefix tables are filled side by side.
+SIDE_BY_SIDE = 16_384
+#: Fewer new units are encoded one by one.
+FEW = 64
 #: Documents whose ids are Python lists at once, for the library to decode.
 TOGETHER = 256
 
@@ -64,6 +71,20 @@ class Pieces:
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
+        # The same pieces as a tree for arrays: signs have numbers from 1, a state is the beginning of a piece, that of one sign has the sign's number.
+        states = {c: i for i, c in enumerate(sorted({c for p in self.ids for c in p}), 1)}
+        self.width = len(states) + 1
+        self.sign = np.zeros(sys.maxunicode + 1, dtype=np.int64)
+        self.sign[list(map(ord, states))] = list(states.values())
+        edges: dict[int, int] = {}
+        for piece in self.ids:
+            for end in range(2, len(piece) + 1):
+                if (state := states.setdefault(piece[:end], len(states) + 1)) == len(states):
+                    edges[states[piece[: end - 1]] * self.width + states[piece[end - 1]]] = state
+        self.edges, self.targets = pd.Index(np.array(list(edges), dtype=np.int64)), np.array(list(edges.values()), dtype=np.int64)
+        self.tokens = np.array([0, *(self.ids.get(p, 0) for p in states)], dtype=np.int64)
+        #: Units for ids_together.
+        self.plain = re.compile(f"[{re.escape(''.join(sorted({c for p in self.ids for c in p})))}]{{1,{LONG_UNIT}}}").fullmatch
         # Where no piece has two signs side by side no token crosses, so units may end there: line ends, words before points.
         beside = {(x, y) for p in self.ids for x, y in zip(p, p[1:])}  # noqa: B905
         line = "" if "\n" in self.ids else "\n"
@@ -74,6 +95,7 @@ class Pieces:
         self.columnar = bool(line) and not any(SEPARATOR in p for p in self.ids) and not any(unicodedata.category(x)[0] == "L" or x.isdecimal() for x in inside)
         self.size = n
         self.pairs: dict[int, bool] = {}
+        self.tested, self.fits = pd.Index([], dtype=np.int64), np.zeros(0, dtype=bool)
         self.steps: dict[int, tuple[list[float], list[str], list[str]]] = {}
         self.forget()
 
@@ -149,16 +171,75 @@ class Pieces:
         out.reverse()
         return out
 
-    def learn(self, units: list[str], number: int) -> None:
+    def all_together(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """`together` of many pairs."""
+        keys = left * self.size + right
+        at = self.tested.get_indexer(keys)
+        new = np.flatnonzero(at < 0)
+        if not len(new):
+            return self.fits[at]
+        fits = np.zeros(len(keys), dtype=bool)
+        fits[at >= 0] = self.fits[at[at >= 0]]
+        unknown, where = np.unique(keys[new], return_inverse=True)
+        tested = [self.together(*divmod(k, self.size)) if (fit := self.pairs.get(k)) is None else fit for k in unknown.tolist()]
+        fits[new] = np.array(tested, dtype=bool)[where]
+        return fits
+
+    def ids_together(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain units one after the other, and how many each has: ids_of by arrays of one entry a prefix."""
+        if not len(self.tested) <= len(self.pairs) <= 1.25 * len(self.tested):
+            self.tested, self.fits = pd.Index(np.fromiter(self.pairs, np.int64, len(self.pairs))), np.fromiter(self.pairs.values(), bool, len(self.pairs))
+        sizes = np.fromiter(map(len, units), dtype=np.int64, count=len(units))
+        # In front of each unit is an entry for its empty prefix, a sign that no piece has.
+        begins = np.cumsum(sizes) - sizes + np.arange(len(units))
+        at = np.arange(sizes.sum()) + np.repeat(np.arange(1, len(units) + 1), sizes)
+        signs = np.zeros(len(at) + len(units) + 1, dtype=np.int64)
+        signs[at] = state = self.sign[np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)]
+        lengths = np.arange(len(signs) - 1) - np.repeat(begins, sizes + 1)
+        # Every piece in the units: where it ends, how long it is and its token.
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for n in count(1):
+            tokens = self.tokens[state]
+            some = tokens > 0
+            found.append((at[some], np.full(np.count_nonzero(some), n), tokens[some]))
+            edge = self.edges.get_indexer(state * self.width + signs[at + 1])
+            on = edge >= 0
+            if not on.any():
+                break
+            at, state = at[on] + 1, self.targets[edge[on]]
+        ends, long, tokens = map(np.concatenate, zip(*found, strict=True))
+        prefix = lengths[ends].astype(np.uint8)
+        order = np.argsort(prefix, kind="stable")
+        ends, long, tokens = ends[order], long[order], tokens[order]
+        last, back = np.zeros(len(signs) - 1, dtype=np.int64), np.ones(len(signs) - 1, dtype=np.int64)
+        steps = np.cumsum(np.bincount(prefix))
+        for lo, hi in zip(steps[:-1], steps[1:], strict=True):
+            end, n, token = ends[lo:hi], long[lo:hi], tokens[lo:hi]
+            fits = self.all_together(last[end - n], token)
+            last[end[fits]], back[end[fits]] = token[fits], n[fits]
+        used = np.zeros(len(last), dtype=bool)
+        at = begins + sizes
+        while len(at):
+            used[at] = True
+            at = at - back[at]
+            at = at[lengths[at] > 0]
+        return last[used], np.add.reduceat(used, begins, dtype=np.int64)
+
+    def learn(self, units: list[str], number: int, plain: bool = False) -> None:
         """Store the ids of units that are not known yet, from this number on."""
-        found = list(map(self.ids_of, units))
-        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        n, total = number, int(counts.sum())
+        if plain and len(units) >= FEW:
+            parts = [self.ids_together(units[i : i + SIDE_BY_SIDE]) for i in range(0, len(units), SIDE_BY_SIDE)]
+        else:
+            parts = [(ids := self.ids_of(unit), [len(ids)]) for unit in units]
+        if not parts:
+            return
+        flat, counts = (np.concatenate([np.asarray(x, dtype=np.int64) for x in part]) for part in zip(*parts, strict=True))
+        n, total = number, len(flat)
         while n + len(units) > len(self.starts):
             self.starts, self.counts = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.counts, 2 * len(self.counts))
         while self.used + total > len(self.store):
             self.store = np.resize(self.store, 2 * len(self.store))
-        self.store[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=total)
+        self.store[self.used : self.used + total] = flat
         self.starts[n : n + len(units)] = self.used + np.cumsum(counts) - counts
         self.counts[n : n + len(units)] = counts
         self.used += total
@@ -181,9 +262,9 @@ class Pieces:
         values = cut.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets -= offsets[0]
         # The blank in front of each text belongs to its first unit.
-        firsts = pc.binary_join_element_wise(BLANK, values.take(pa.array(offsets[:-1])), "").to_pylist()
+        firsts = pc.binary_join_element_wise(BLANK, values.take(pa.array(offsets[:-1])), "").to_numpy(zero_copy_only=False)
         coded = values.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
         at, opening = self.numbers([words, firsts])
         at = at[coded.indices.to_numpy()]
         at[offsets[:-1]] = opening
@@ -199,20 +280,27 @@ class Pieces:
         units = self.unit.findall(BLANK + text.replace(" ", BLANK)) if text else []
         return self.gathered(self.numbers([units])[0])[0]
 
-    def numbers(self, lists: list[list[str]]) -> list[np.ndarray]:
+    def numbers(self, lists: list[Sequence[str]]) -> list[np.ndarray]:
         """Where the ids of units are stored. Those of long units are overwritten by what is learned next."""
         known = self.known
         found = [list(map(known.get, units)) for units in lists]
-        new = {u for units, at in zip(lists, found, strict=True) if None in at for u, n in zip(units, at, strict=True) if n is None}
+        missing = [[i for i, n in enumerate(at) if n is None] for at in found]
+        new = {units[i] for units, places in zip(lists, missing, strict=True) for i in places}
         if not new:
             return [np.array(at, dtype=np.int64) for at in found]
-        short, long = [u for u in new if len(u) <= LONG_UNIT], [u for u in new if len(u) > LONG_UNIT]
-        self.learn(short, len(known))
-        known.update(zip(short, range(len(known), len(known) + len(short)), strict=True))
+        plain, odd, long = [], [], []
+        for u in new:
+            (plain if self.plain(u) else odd if len(u) <= LONG_UNIT else long).append(u)
+        for short in (plain, odd):
+            self.learn(short, len(known), short is plain)
+            known.update(zip(short, range(len(known), len(known) + len(short)), strict=True))
         used, once = self.used, dict(zip(long, range(len(known), len(known) + len(long)), strict=True))
         self.learn(long, len(known))
         self.used = used
-        return [np.array([once[u] if (n := known.get(u)) is None else n for u in units], dtype=np.int64) for units in lists]
+        for units, at, places in zip(lists, found, missing, strict=True):
+            for i in places:
+                at[i] = once[u] if (n := known.get(u := units[i])) is None else n
+        return [np.array(at, dtype=np.int64) for at in found]
 
     def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of stored units one after the other, and where those of each begin and the last ones end."""
@@ -242,6 +330,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     return source.mapInArrow(releasing(run, keep), f"doc_id long, `{ids_col}` array<int>")
 
 
+def lists_of(column: pa.ListArray) -> list[list[int] | None]:
+    """to_pylist of lists of numbers, without an object of Arrow's for each number on the way."""
+    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+    return [values[a:b].tolist() if there else None for a, b, there in zip(offsets[:-1], offsets[1:], column.is_valid().to_pylist(), strict=True)]
+
+
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """encoded with the text of its ids in a column of its own, by the library's decode; a null list is null, an empty one empty.
 
@@ -258,7 +352,7 @@ def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", text_col:
         for batch in batches:
             for lo in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(lo, TOGETHER)
-                texts = [None if x is None else model.decode(x) if x else "" for x in part.column(ids_at).to_pylist()]
+                texts = [None if x is None else model.decode(x) if x else "" for x in lists_of(part.column(ids_at))]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, text_col])
 
     return encoded.mapInArrow(releasing(run, keep), schema)

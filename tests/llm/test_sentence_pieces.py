@@ -88,3 +88,34 @@ def test_columns_of_texts(texts):
 
     assert [x.tolist() for x in PIECES.encode_all(pa.array(texts, pa.string()))] == [LIBRARY.encode(t) for t in texts]
     assert PIECES.columnar
+
+
+def test_new_units_are_encoded_side_by_side(monkeypatch):
+    """Plain words go through arrays; only those with unknown signs and long ones go one by one."""
+    rng = random.Random(5)
+    words = list({"".join(rng.choices(["en", "th", "é", "ß", "zu", "tion", "$", "A", "7", "▁", "Ⅷ🙂"], k=rng.randint(1, 20))) for _ in range(3000)})
+    expected = [PIECES.ids_of(w) for w in words]
+    monkeypatch.setattr(sentence_pieces, "SIDE_BY_SIDE", 700)
+    fresh, apart = sentence_pieces.Pieces(PATH), []
+    one = fresh.ids_of
+    monkeypatch.setattr(fresh, "ids_of", lambda unit: apart.append(unit) or one(unit))
+    ids, ends = fresh.gathered(fresh.numbers([words])[0])
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == expected
+    assert sorted(apart) == sorted(w for w in words if "Ⅷ" in w or len(w) > 64) != []
+
+
+def test_columns_of_strings_of_pieces():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(NAMES, k=rng.randint(0, 12))).replace("▁", " ") for _ in range(8000)]
+    assert [x.tolist() for x in sentence_pieces.Pieces(PATH).encode_all(pa.array(texts))] == LIBRARY.encode(texts)
+
+
+def test_lists_of_numbers():
+    import pyarrow as pa
+
+    column = pa.array([[1, 2], None, [], [3], [4, 5, 6]], pa.list_(pa.int32()))
+    for lo in range(5):
+        assert sentence_pieces.lists_of(column.slice(lo, 3)) == column.slice(lo, 3).to_pylist()
+    assert type(sentence_pieces.lists_of(column)[0][0]) is int
