@@ -1,8 +1,9 @@
 """External calls that outlive a run: UDF-04, UDF-05 and UDF-07 over a table of batches and their attempts.
 
-Distinct texts are cut into batches once and the batches are written, so a later run has the same ones. A task writes the
-outcome of a few batches at a time as a file of its own that appears whole or not at all; what is there before a job,
-an executor or a task dies is never asked for again. A batch that fails comes back in a later round, after a wait that
+Distinct texts are cut into batches once and the batches are written, so a later run has the same ones. A task adds the
+outcome of a few batches at a time to a file of its own, a line each, and of a line that a dying task leaves torn nothing is
+read; what is there before a job, an executor or a task dies is never asked for again. So there are as many files as tasks,
+not as batches, and reading them takes no longer than their rows do. A batch that fails comes back in a later round, after a wait that
 doubles; one that keeps failing is cut into single texts, so that a text that can't be answered takes no other with it.
 """
 
@@ -12,14 +13,17 @@ import hashlib
 import json
 import os
 import time
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collatio.sources.edge import Translator
-from collatio.sources.versions import folder_of, put_if_absent
+from collatio.sources.versions import folder_of
 
 #: Texts that a translator gets at once (UDF-04).
 BATCH = 12
@@ -37,6 +41,18 @@ def _single(text: Column) -> Column:
     return F.sha2(F.concat(F.length(text).cast("string"), F.lit(":"), text), 256)
 
 
+def _made(folder: str, names: str) -> set[str]:
+    """The batches whose outcomes are in the files of a folder whose names begin so; torn lines are passed over."""
+    made = set()
+    for name in os.listdir(folder):
+        if name.startswith(names):
+            with open(f"{folder}/{name}") as f:
+                for line in f:
+                    with suppress(ValueError):
+                        made.add(json.loads(line)["batch"])
+    return made
+
+
 def _asked(translator: Translator, texts: list[str]) -> tuple[list[str] | None, str | None]:
     """(answers, error) of one call; another number of answers than texts is an error too."""
     try:
@@ -68,8 +84,8 @@ class Calls:
         return self.spark.read.schema(PLANNED).parquet(f"file://{self.folder}/batches")
 
     def attempts(self) -> DataFrame:
-        """A row for each attempt of a batch: error or answers."""
-        return self.spark.read.schema(ATTEMPT).option("mode", "FAILFAST").json(f"file://{self.folder}/attempts")
+        """A row for each attempt of a batch: error or answers. Lines that are torn are no attempts: their batches are asked for again."""
+        return self.spark.read.schema(ATTEMPT).option("mode", "DROPMALFORMED").json(f"file://{self.folder}/attempts")
 
     def plan(self, texts: DataFrame, column: str = "original") -> None:
         """Cut the texts that no batch has yet into batches; null and blank ones are left out. Again with the same texts it adds nothing."""
@@ -97,7 +113,7 @@ class Calls:
         """
         # A batch has at most as many attempts as whole or tries allow, so merging them is a small aggregate on a short key.
         made = self.attempts().groupBy("batch").agg(
-            F.count("*").cast("int").alias("attempts"),
+            F.max("attempt").alias("attempts"),
             F.max(F.col("answers").isNotNull()).alias("done"),
             F.max_by("error", "at").alias("error"),
             F.max("at").alias("last"),
@@ -115,26 +131,32 @@ class Calls:
     def round(self, translator: Translator, now: float | None = None) -> int:
         """Ask once for every batch that is open and due; returns the number of batches asked for."""
         now = time.time() if now is None else now
-        folder, segment = self.folder, self.segment
+        folder, segment, this = f"{self.folder}/attempts", self.segment, uuid.uuid4().hex
         open_ = self.state().where(~F.col("done") & (F.col("attempts") < F.col("limit")) & (F.col("due").isNull() | (F.col("due") <= now)))
-        # The same rows in the same order when a task is run again, so that it finds the segments it had finished.
-        laid = open_.select("batch", F.col("attempts").alias("attempt"), "texts").repartition(self.lanes, "batch").sortWithinPartitions("batch")
+        # The same rows when a task is run again, so that it finds what it had finished among the files of this round and its partition.
+        # By "batch" alone Spark would keep the join's partitions, which may be fewer than the lanes.
+        laid = open_.select("batch", F.col("attempts").alias("attempt"), "texts").repartition(self.lanes, F.xxhash64("batch")).sortWithinPartitions("batch")
 
         def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for part in parts:
-                rows = list(zip(part["batch"], part["attempt"], part["texts"], strict=True))
-                for i in range(0, len(rows), segment):
-                    chunk = rows[i : i + segment]
-                    name = hashlib.sha256(" ".join(f"{batch}:{attempt}" for batch, attempt, _ in chunk).encode()).hexdigest()
-                    path = f"{folder}/attempts/{name}.json"
-                    if not os.path.exists(path):
+            names = f"{this}-{TaskContext.get().partitionId()}-"
+            made, out = _made(folder, names), None
+            try:
+                for part in parts:
+                    rows = [row for row in zip(part["batch"], part["attempt"], part["texts"], strict=True) if row[0] not in made]
+                    for i in range(0, len(rows), segment):
                         lines = []
-                        for batch, attempt, texts in chunk:
+                        for batch, attempt, texts in rows[i : i + segment]:
                             asked = list(texts)
                             answers, error = _asked(translator, asked)
-                            lines.append(json.dumps({"batch": batch, "attempt": int(attempt) + 1, "at": time.time(), "error": error, "texts": asked, "answers": answers}))
-                        put_if_absent(path, ("\n".join(lines) + "\n").encode())
-                    yield pd.DataFrame({"n": [len(chunk)]})
+                            lines.append(json.dumps({"batch": batch, "attempt": int(attempt) + 1, "at": time.time(), "error": error, "texts": asked, "answers": answers}) + "\n")
+                        out = out or open(f"{folder}/{names}{uuid.uuid4().hex}.json", "x")
+                        out.writelines(lines)
+                        out.flush()
+                        os.fsync(out.fileno())
+                    yield pd.DataFrame({"n": [len(part)]})
+            finally:
+                if out:
+                    out.close()
 
         return laid.mapInPandas(ask, "n int").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
 

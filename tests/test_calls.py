@@ -2,6 +2,7 @@
 
 import json
 import os
+import subprocess
 import sys
 import uuid
 
@@ -10,7 +11,7 @@ from pyspark import cloudpickle
 
 from collatio.operators import filters
 from collatio.plans import ingest
-from collatio.plans.calls import Calls
+from collatio.plans.calls import Calls, _made
 
 # Workers don't import the tests, so their classes travel whole.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -144,3 +145,61 @@ def test_reasons_split(spark):
     df = spark.createDataFrame([(1, "scrape_error"), (2, "no_url"), (3, None)], "id int, reason string")
     hit, rest = filters.split_by_reason(df, "reason", "scrape_error")
     assert [r.id for r in hit.collect()] == [1] and sorted(r.id for r in rest.collect()) == [2, 3]
+
+
+def test_as_many_files_as_tasks(spark, tmp_path):
+    asked = asked_folder(tmp_path)
+    calls = Calls(spark, f"{tmp_path}/work", size=1, segment=1, lanes=3, wait=0.01)
+    calls.plan(texts_of(spark, 90, "bad"))
+    assert calls.round(Counting(asked)) == 91
+    assert len(os.listdir(f"{tmp_path}/work/attempts")) == 3
+    calls.run(Counting(asked))
+    assert len(os.listdir(f"{tmp_path}/work/attempts")) == 5  # "bad" twice more
+    assert calls.answers().count() == 90 and [r.attempts for r in calls.failed().collect()] == [3]
+
+
+@pytest.mark.parametrize("kept", [0, 1, 40, 120, -2, -1])
+def test_a_torn_line_is_asked_again_and_no_other(spark, tmp_path, kept):
+    asked = asked_folder(tmp_path)
+    calls = Calls(spark, f"{tmp_path}/work", size=1, lanes=1)
+    calls.plan(texts_of(spark, 9, 'x"}]}\n🙂'))
+    calls.round(Counting(asked))
+    (name,) = os.listdir(f"{tmp_path}/work/attempts")
+    with open(f"{tmp_path}/work/attempts/{name}") as f:
+        lines = f.readlines()
+    with open(f"{tmp_path}/work/attempts/{name}", "w") as f:
+        f.writelines([*lines[:-1], lines[-1][:kept]])
+    whole = kept == -1  # only the line end is missing
+    again = Calls(spark, f"{tmp_path}/work", size=1, lanes=1)
+    assert again.answers().count() == 9 + whole and len(_made(f"{tmp_path}/work/attempts", name)) == 9 + whole
+    again.run(Counting(asked))
+    assert len(calls_in(asked)) == 11 - whole and {r.original: r.written for r in again.answers().collect()} == {t: t.upper() for t in [*(f"t{i}" for i in range(9)), 'x"}]}\n🙂']}
+
+
+def test_a_task_that_is_run_again_finds_what_it_has_finished(tmp_path):
+    asked = asked_folder(tmp_path)
+    script = f"""
+import json, os, uuid
+from pyspark.sql import SparkSession
+from collatio.plans.calls import Calls
+
+class DiesOnce:
+    def translate(self, texts):
+        with open(f"{asked}/{{uuid.uuid4().hex}}", "w") as f:
+            json.dump(texts, f)
+        if texts == ["t7"] and not os.path.exists("{tmp_path}/died"):
+            open("{tmp_path}/died", "w").close()
+            os._exit(1)
+        return [t.upper() for t in texts]
+
+spark = SparkSession.builder.master("local[1,3]").config("spark.ui.enabled", "false").getOrCreate()
+calls = Calls(spark, "{tmp_path}/work", size=1, segment=4, lanes=1)
+calls.plan(spark.createDataFrame([(f"t{{i}}",) for i in range(40)], "original string"))
+assert calls.round(DiesOnce()) == 40
+assert sorted(r.written for r in calls.answers().collect()) == sorted(f"T{{i}}" for i in range(40))
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=180, cwd=os.path.dirname(os.path.dirname(__file__)))
+    assert done.returncode == 0, done.stderr[-2000:]
+    times = [t for texts in calls_in(asked) for t in texts]
+    assert os.path.exists(tmp_path / "died") and len(set(times)) == 40 and times.count("t7") == 2 and len(times) <= 44
+    assert len(os.listdir(tmp_path / "work" / "attempts")) == 2
