@@ -49,7 +49,9 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(new)
         counts = np.add.reduceat(table["n_rows"].to_numpy(), starts)
         folded = table.take(pa.array(starts))
-        folded = folded.set_column(folded.schema.get_field_index("n_rows"), "n_rows", pa.array(counts))
+        # The field stays as it came, or the held row would not fit the next batch: Spark's count of one is not nullable.
+        at = folded.schema.get_field_index("n_rows")
+        folded = folded.set_column(at, folded.schema.field(at), pa.array(counts))
         held = folded.slice(folded.num_rows - 1)
         yield from folded.slice(0, folded.num_rows - 1).combine_chunks().to_batches()
     if held is not None:

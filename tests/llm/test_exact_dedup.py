@@ -27,6 +27,16 @@ def test_equals_dictionary_over_many_runs(spark):
     assert {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got} == brute(rows) and len(got) == len(rows)
 
 
+def test_partition_of_several_arrow_batches(spark):
+    # 25,000 rows in one partition are three batches; a text that 12,000 rows hold lies in two of them at least.
+    rows = [(i, "common" if i % 25 < 12 else None if i % 25 == 12 else f"x{i % 5000}" if i % 25 < 18 else f"own {i}") for i in range(25_000)]
+    random.Random(4).shuffle(rows)
+    want = brute(rows)
+    for parts in (1, 2):
+        got = exact_dedup.exact_duplicates(spark.createDataFrame(rows, DOCS).repartition(parts)).collect()
+        assert {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got} == want and len(got) == len(rows)
+
+
 def test_odd_rows(spark):
     rows = [(1, "t", "x"), (1, "t", "y"), (None, "t", "z"), (None, "n", "w"), (2, "long " * 50_000, "v")]
     got = exact_dedup.exact_duplicates(spark.createDataFrame(rows, DOCS + ", digest string")).collect()
